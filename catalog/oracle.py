@@ -64,9 +64,9 @@ NUMBERED = (
 
 def _emails(words: str) -> str:
     value = f"lower({trim('original')})"
-    return f"""split AS (SELECT *, {value} AS email, strpos({value}, '@') AS at FROM {words}),
-    parts AS (SELECT file, line_no, email, email[1:at-1] AS raw_local, email[at+1:] AS domain
-      FROM split WHERE at > 1 AND at < length(email)),
+    return f"""split AS (SELECT *, {value} AS email, strpos({value}, '@') AS cut FROM {words}),
+    parts AS (SELECT file, line_no, email, email[1:cut-1] AS raw_local, email[cut+1:] AS domain
+      FROM split WHERE cut > 1 AND cut < length(email)),
     emails AS (SELECT file, line_no, email, {whitelist(ascii_("raw_local"))} AS local_part, domain
       FROM parts WHERE {whitelist(ascii_("raw_local"))} <> '')"""
 

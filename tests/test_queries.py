@@ -33,7 +33,7 @@ def test_every_query_has_a_twin():
 @pytest.mark.parametrize("key", sorted(entry.queries()))
 def test_query(spark, twin, key):
     got = entry.queries()[key](spark, SF).toArrow()
-    want = twin.execute(entry.oracle_sql()[key]).to_arrow_table()
+    want = twin.sql(entry.oracle_sql()[key]).to_arrow_table()
     assert sorted(got.column_names) == sorted(want.column_names)
     types = {f.name: _plain(f.type) for f in got.schema}
     assert types == {f.name: _plain(f.type) for f in want.schema}
