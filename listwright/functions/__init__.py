@@ -26,6 +26,7 @@ from listwright.functions.paths import (
     stem,
 )
 from listwright.functions.text import (
+    NAME_STEPS,
     collapse,
     is_ascii,
     local_part_name,
@@ -40,6 +41,7 @@ from listwright.functions.text import (
 __all__ = [
     "KINDS",
     "NAME_COLUMNS",
+    "NAME_STEPS",
     "base_name",
     "chunk_name",
     "collapse",

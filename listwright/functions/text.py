@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +23,9 @@ WHITE_SPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# Fixed value: the characters a name may hold.
+ALLOWED = "abcdefghijklmnopqrstuvwxyz0123456789_.- "
+
 # Latin letters that have no canonical decomposition to one ASCII letter.
 SINGLE_LETTERS = {
     "Ð": "D", "ð": "d", "Đ": "D", "đ": "d", "Ħ": "H", "ħ": "h", "ı": "i", "ĸ": "k",
@@ -87,8 +91,14 @@ def to_ascii(c: ColumnOrName, extra: Mapping[str, str] | None = None) -> Column:
 
 
 def whitelist(c: ColumnOrName) -> Column:
-    """Delete every character other than ``a-z 0-9 _ . -`` and the space."""
-    return F.regexp_replace(as_column(c), r"[^a-z0-9_.\- ]+", "")
+    """Delete every character other than ``a-z 0-9 _ . -`` and the space.
+
+    What is left when the allowed characters are deleted is what has to be deleted. For
+    text this is several times faster than a regular expression.
+    """
+    c = as_column(c)
+    unwanted = F.translate(c, ALLOWED, "")
+    return F.call_function("translate", c, unwanted, F.lit(""))
 
 
 def collapse(c: ColumnOrName) -> Column:
@@ -96,15 +106,27 @@ def collapse(c: ColumnOrName) -> Column:
     return trim_all(F.regexp_replace(as_column(c), r"(?U)[\s\x1c-\x1f]+", " "))
 
 
-def normalize_name(c: ColumnOrName) -> Column:
-    """Plain lower-case form of a name: lower, transliterate, whitelist, collapse, trim.
+def plain_letters(c: ColumnOrName) -> Column:
+    """Lower-case ASCII form; null becomes the empty string."""
+    return to_ascii(lower(F.coalesce(as_column(c), F.lit(""))))
 
-    Only spaces survive the whitelist, so the collapse is a plain one, done for
-    the rows that hold a double space. Null becomes the empty string.
-    """
-    plain = whitelist(to_ascii(lower(F.coalesce(as_column(c), F.lit("")))))
-    single = F.when(F.contains(plain, F.lit("  ")), F.regexp_replace(plain, " {2,}", " "))
-    return F.trim(F.coalesce(single, plain))
+
+def single_spaces(c: ColumnOrName) -> Column:
+    """Collapse for values without other white space than spaces: rows without a double
+    space are only trimmed."""
+    c = as_column(c)
+    single = F.when(F.contains(c, F.lit("  ")), F.regexp_replace(c, " {2,}", " "))
+    return F.trim(single.otherwise(c))
+
+
+# The name normaliser, step by step. White space at the ends needs no trim of its own:
+# what the whitelist leaves of it are spaces.
+NAME_STEPS = (plain_letters, whitelist, single_spaces)
+
+
+def normalize_name(c: ColumnOrName) -> Column:
+    """Plain form of a name: lower-case, transliterated, whitelisted, collapsed, trimmed."""
+    return reduce(lambda value, step: step(value), NAME_STEPS, as_column(c))
 
 
 def local_part_name(c: ColumnOrName) -> Column:

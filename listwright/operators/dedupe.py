@@ -9,9 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listwright.functions import is_strict_name, normalize_name, to_ascii, trim_all
-from listwright.functions.text import lower
-from listwright.sources.lines import evaluate_once, link_titles
+from listwright.functions import NAME_STEPS, is_strict_name, lower, to_ascii, trim_all
+from listwright.sources.lines import add_computed, link_titles
 
 LINE_ORDER = ("priority", "file", "line_no")
 
@@ -23,18 +22,17 @@ def normalize_names(lines: DataFrame, mode: str = "repair", value: str = "origin
     lower-cases and transliterates, and drops what is then no name.
     """
     if mode == "repair":
-        named = lines.withColumn("nick", evaluate_once(normalize_name(value)))
-        return named.where(F.col("nick") != "")
+        return add_computed(lines, "nick", value, *NAME_STEPS).where("nick <> ''")
     if mode == "strict":
-        named = lines.withColumn("nick", evaluate_once(to_ascii(lower(trim_all(value)))))
+        named = add_computed(lines, "nick", value, trim_all, lower, to_ascii)
         return named.where(is_strict_name("nick"))
     raise ValueError(f"unknown mode {mode}")
 
 
 def link_names(lines: DataFrame, value: str = "original") -> DataFrame:
     """Titles of the links in Markdown lines, as strict names."""
-    titles = lines.withColumn(value, evaluate_once(link_titles(value)))
-    return normalize_names(titles.where(F.col(value).isNotNull()), mode="strict", value=value)
+    titles = lines.withColumn(value, link_titles(value))
+    return normalize_names(titles, mode="strict", value=value)
 
 
 def dedupe_per_file(
@@ -74,7 +72,7 @@ def dedupe_lines(
     With ``trim`` white space is trimmed, blank lines are dropped and no place is kept.
     """
     if trim:
-        trimmed = lines.select(evaluate_once(trim_all(value)).alias(value))
+        trimmed = add_computed(lines.select(value), value, value, trim_all)
         return trimmed.where(F.col(value) != "").distinct()
     return dedupe_priority(lines, key=value, order=order)
 

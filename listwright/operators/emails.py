@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listwright.functions import email_parts
-from listwright.sources.lines import evaluate_once
+from listwright.sources.lines import add_computed
 
 
 def parse_emails(lines: DataFrame, value: str = "original") -> DataFrame:
@@ -14,7 +14,8 @@ def parse_emails(lines: DataFrame, value: str = "original") -> DataFrame:
 
     The three stay together on their row.
     """
-    parsed = lines.withColumn("_parts", evaluate_once(email_parts(value))).drop(value)
+    likely = lines.where(F.contains(F.col(value), F.lit("@")))
+    parsed = add_computed(likely, "_parts", value, email_parts).drop(value)
     kept = [c for c in parsed.columns if c != "_parts"]
     return parsed.where(F.col("_parts").isNotNull()).select(*kept, "_parts.*")
 

@@ -19,6 +19,7 @@ from listwright.storage import fresh_path
 
 CHUNK_ROWS = 1_000_000
 RAW_CHUNK_ROWS = 5_000_000
+SLICE_ROWS = 100_000
 
 
 def global_ordinal(
@@ -79,12 +80,12 @@ def group_ordinal(
     ordinal of a group is joined back per group and slice of 100,000 ordinals.
     """
     numbered = global_ordinal(df, (*group, *order)).withColumn(
-        "_slice", F.floor(F.col("ord") / 100_000)
+        "_slice", F.floor(F.col("ord") / SLICE_ROWS)
     )
     starts = numbered.groupBy(*group).agg(
         F.min("ord").alias("_first"), F.max("_slice").alias("_last_slice")
     )
-    slices = F.explode(F.sequence(F.floor(F.col("_first") / 100_000), F.col("_last_slice")))
+    slices = F.explode(F.sequence(F.floor(F.col("_first") / SLICE_ROWS), F.col("_last_slice")))
     per_slice = starts.select(*group, "_first", slices.alias("_slice"))
     return numbered.join(per_slice, [*group, "_slice"]).select(
         *df.columns, (F.col("ord") - F.col("_first")).alias(name)

@@ -126,7 +126,7 @@ def _first_json_key(
     spark: SparkSession, paths: str | list[str], globs: dict[str, str | bool]
 ) -> str | None:
     """First key of the first document: the schema Spark infers is in alphabetical order."""
-    text = spark.read.options(wholetext=True, **_glob_options(globs)).text(paths)
+    text = spark.read.options(**_glob_options(globs)).text(paths, wholetext=True)
     key = F.regexp_extract("value", r'^[\s\[]*\{\s*"([^"\\]*)"\s*:', 1)
     first = text.select("_metadata.file_path", key.alias("key")).where("key <> ''")
     row = first.agg(F.min_by("key", "file_path").alias("key")).first()

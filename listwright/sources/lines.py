@@ -7,6 +7,8 @@ several blocks has no running line number, so the block's offset comes first and
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from listwright.functions import base_name, trim_all
 from listwright.functions._columns import ColumnOrName, as_column
 
 FILE_PLACE = ("file", "block", "line_no")
+Step = Callable[[ColumnOrName], Column]
 
 
 def readable(value: ColumnOrName) -> Column:
@@ -61,11 +64,7 @@ def scan_lines(
 
 def trimmed_lines(raw: DataFrame, value: str = "value") -> DataFrame:
     """Trim the values of a raw line table, drop blank ones, call the column ``original``."""
-    return (
-        raw.withColumn("original", evaluate_once(trim_all(value)))
-        .drop(value)
-        .where(F.col("original") != "")
-    )
+    return add_computed(raw, "original", value, trim_all).drop(value).where("original <> ''")
 
 
 def lines_from_text(
@@ -134,13 +133,18 @@ def link_titles(line: ColumnOrName) -> Column:
     return F.when(title != "", F.regexp_extract(title, r"^\[(.*?)\]\(https?://", 1))
 
 
-def evaluate_once(c: Column) -> Column:
-    """Keep a costly expression from being copied into a filter on it.
+def add_computed(df: DataFrame, name: str, value: ColumnOrName, *steps: Step) -> DataFrame:
+    """Add ``steps`` applied to ``value`` one after the other as a column that filters may
+    refer to.
 
-    Without the barrier the optimiser evaluates it in the filter and again in the
-    projection. A generator over one element is such a barrier.
+    Each step is a projection of its own, whose result later steps use more than once.
+    The generator over one element at the end keeps the optimiser from evaluating all
+    steps a second time in a filter.
     """
-    return F.explode(F.array(c))
+    df = df.withColumn(name, as_column(value))
+    for step in steps:
+        df = df.withColumn(name, step(name))
+    return df.withColumn(name, F.explode(F.array(name)))
 
 
 def _source_column(source: ColumnOrName | None) -> Column:

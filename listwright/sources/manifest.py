@@ -19,7 +19,8 @@ def scan_manifest(spark: SparkSession, root: str) -> DataFrame:
     ``(source, path, name, stem, ext, depth, length, modificationTime)``.
 
     The source is the first folder below the root, the depth counts folders below it.
-    File contents are not read.
+    File contents are not read. Spark does not list empty files, hidden ones, and ones whose
+    name starts with an underscore.
     """
     files = (
         spark.read.format("binaryFile")
@@ -117,7 +118,7 @@ def validate_files(expected: DataFrame, manifest: DataFrame) -> DataFrame:
     """
     listed = F.transform(
         F.sequence(F.lit(1), F.size(F.split("path", "/"))),
-        lambda depth: F.substring_index("path", "/", depth),
+        lambda depth: F.call_function("substring_index", "path", F.lit("/"), depth),
     )
     known = (
         manifest.select(F.explode(listed).alias("path"))
