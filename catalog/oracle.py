@@ -254,6 +254,7 @@ _PER_FILE = "per_file AS (SELECT DISTINCT source, file, nick FROM names)"
 ORACLE["run_stats"] = f"""WITH {NAMES}, {_PER_FILE}, totals AS (SELECT count(*) AS n_normalized,
     count(DISTINCT nick) AS n_deduped FROM per_file)
   SELECT *, round((1 - n_deduped / n_normalized) * 100, 6) AS duplicate_rate FROM totals"""
+ORACLE["stats_total"] = ORACLE["run_stats"]
 ORACLE["stats_report"] = f"""WITH {NAMES}, {PARTIAL},
   kept AS (SELECT * FROM names WHERE source IN (SELECT slug FROM partial)),
   first AS (SELECT * FROM kept QUALIFY {FIRST}),

@@ -372,6 +372,13 @@ def dir_totals(spark, sf):
 
 @query
 def run_stats(spark, sf):
+    names = _names(spark, sf)
+    totals = stats.run_stats(dedupe.dedupe_per_file(names), dedupe.dedupe_unordered(names))
+    return totals.withColumn("duplicate_rate", F.round("duplicate_rate", 6))
+
+
+@query
+def stats_total(spark, sf):
     totals = jobs.stats_total(b.lines(spark, sf), b.registry(spark, sf))
     return totals.withColumn("duplicate_rate", F.round("duplicate_rate", 6))
 

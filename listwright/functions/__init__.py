@@ -11,6 +11,7 @@ from listwright.functions.filters import (
     looks_like_name,
     looks_like_token,
     pick_name_column,
+    split_email,
 )
 from listwright.functions.paths import (
     base_name,
@@ -65,6 +66,7 @@ __all__ = [
     "normalize_name",
     "path_parts",
     "pick_name_column",
+    "split_email",
     "stem",
     "strip_commas",
     "to_ascii",

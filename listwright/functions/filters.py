@@ -35,10 +35,15 @@ def is_email(c: ColumnOrName) -> Column:
 def email_parts(c: ColumnOrName) -> Column:
     """Struct of the trimmed lower-case email, its plain local part and its domain.
 
-    The value is split at the first ``@``; null when it is no email or nothing
-    is left of the local part.
+    The value is split at the first ``@``; null when it is no email or nothing is left of
+    the local part.
     """
-    email = lower(trim_all(c))
+    return split_email(lower(trim_all(c)))
+
+
+def split_email(email: ColumnOrName) -> Column:
+    """The same for a value that is trimmed and lower-case."""
+    email = as_column(email)
     local = local_part_name(F.substring_index(email, "@", 1))
     domain = F.substring(email, F.instr(email, "@") + 1, F.length(email))
     parts = F.struct(email.alias("email"), local.alias("local_part"), domain.alias("domain"))

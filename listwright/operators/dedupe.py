@@ -80,9 +80,7 @@ def dedupe_lines(
 def incremental_new(batch: DataFrame, seen: DataFrame, key: str = "nick") -> DataFrame:
     """Values of the batch that were not seen before, each once.
 
-    What was seen is first reduced to the values of the batch. With a small batch that is
-    a broadcast, and the accumulated table is neither shuffled nor sorted.
+    Both sides are reduced to distinct values before the shuffle, and the join reuses
+    that partitioning.
     """
-    values = batch.select(key).distinct()
-    known = seen.select(key).join(values, key, "left_semi").distinct()
-    return values.join(known, key, "left_anti")
+    return batch.select(key).distinct().join(seen.select(key).distinct(), key, "left_anti")

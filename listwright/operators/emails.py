@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listwright.functions import email_parts
+from listwright.functions import lower, split_email, trim_all
 from listwright.sources.lines import add_computed
 
 
@@ -15,21 +15,23 @@ def parse_emails(lines: DataFrame, value: str = "original") -> DataFrame:
     The three stay together on their row.
     """
     likely = lines.where(F.contains(F.col(value), F.lit("@")))
-    parsed = add_computed(likely, "_parts", value, email_parts).drop(value)
+    parsed = add_computed(likely, "_parts", value, trim_all, lower, split_email).drop(value)
     kept = [c for c in parsed.columns if c != "_parts"]
     return parsed.where(F.col("_parts").isNotNull()).select(*kept, "_parts.*")
 
 
+EMAIL_PARTS = {"email": "email", "local_part": "local_part", "domain": "domain"}
+
+
+def tag_values(df: DataFrame, tags: dict[str, str]) -> DataFrame:
+    """Each column of ``tags`` as rows ``(part, value)`` under its tag, without nulls."""
+    pairs = [F.struct(F.lit(t).alias("part"), F.col(c).alias("value")) for t, c in tags.items()]
+    return df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
+
+
 def email_uniques(emails: DataFrame) -> DataFrame:
     """Unique emails, local parts and domains as ``(part, value)``, in one pass."""
-    parts = F.explode(
-        F.create_map(
-            F.lit("email"), F.col("email"),
-            F.lit("local_part"), F.col("local_part"),
-            F.lit("domain"), F.col("domain"),
-        )
-    ).alias("part", "value")
-    return emails.select(parts).where(F.col("value").isNotNull()).distinct()
+    return tag_values(emails, EMAIL_PARTS).distinct()
 
 
 def combine_names(names: DataFrame, emails: DataFrame) -> DataFrame:
@@ -44,15 +46,10 @@ def export_stats(names: DataFrame, emails: DataFrame) -> DataFrame:
     Every value is tagged with what it is and reduced to one row before it is counted,
     so no task holds a set of values.
     """
-    named = names.select("nick", F.lit("name").alias("kind"))
-    tagged = F.explode(
-        F.create_map(
-            F.lit("email"), F.col("email"), F.lit("local_part"), F.col("local_part")
-        )
-    ).alias("kind", "nick")
-    values = named.unionByName(emails.select(tagged))
-    is_kind = {k: F.bool_or(F.col("kind") == k) for k in ("email", "local_part", "name")}
-    per_value = values.groupBy("nick").agg(*(c.alias(k) for k, c in is_kind.items()))
+    parts = tag_values(emails, {"email": "email", "local_part": "local_part"})
+    values = tag_values(names, {"name": "nick"}).unionByName(parts)
+    is_part = {p: F.bool_or(F.col("part") == p) for p in ("email", "local_part", "name")}
+    per_value = values.groupBy("value").agg(*(c.alias(p) for p, c in is_part.items()))
     return per_value.agg(
         F.count_if("email").alias("n_emails"),
         F.count_if("local_part").alias("n_local_parts"),

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listwright.operators.joins import with_priority
-from listwright.storage import lookup_join
 
 
 def count_by_source(df: DataFrame) -> DataFrame:
@@ -29,10 +28,14 @@ def new_uniques(deduped: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def raw_counts(raw: DataFrame, binary: DataFrame | None = None) -> DataFrame:
-    """Lines per file: ``(source, file, n_lines)``. ``binary`` lists ``(file)`` to skip."""
-    if binary is not None:
-        raw = lookup_join(raw, binary.select("file").distinct(), "file", "left_anti")
-    return raw.groupBy("source", "file").agg(F.count("*").alias("n_lines"))
+    """Lines per file: ``(source, file, n_lines)``. ``binary`` lists ``(file)`` to skip;
+    they are left out of the counts, so the lines themselves are not joined."""
+    counts = raw.groupBy("source", "file").agg(F.count("*").alias("n_lines"))
+    if binary is None:
+        return counts
+    return counts.join(binary.select("file").distinct(), "file", "left_anti").select(
+        "source", "file", "n_lines"
+    )
 
 
 def dir_totals(manifest: DataFrame, counts: DataFrame) -> DataFrame:
@@ -69,6 +72,16 @@ def run_stats(per_file: DataFrame, deduped: DataFrame) -> DataFrame:
     )
 
 
+def value_stats(per_file: DataFrame, key: str = "nick") -> DataFrame:
+    """The same row from the uniques of each file alone, in one pass."""
+    per_value = per_file.groupBy(key).agg(F.count("*").alias("_n"))
+    n_rows = F.coalesce(F.sum("_n"), F.lit(0).cast("long"))
+    totals = per_value.agg(n_rows.alias("n_normalized"), F.count("*").alias("n_deduped"))
+    return totals.withColumn(
+        "duplicate_rate", duplicate_rate(F.col("n_normalized"), F.col("n_deduped"))
+    )
+
+
 def error_summary(quarantine: DataFrame) -> DataFrame:
     return quarantine.groupBy("phase", "reason").agg(F.count("*").alias("n_errors"))
 

@@ -13,10 +13,11 @@ from listwright.operators.dedupe import (
     dedupe_priority,
     normalize_names,
 )
-from listwright.operators.emails import combine_names, email_uniques, parse_emails
+from listwright.operators.emails import EMAIL_PARTS, parse_emails, tag_values
 from listwright.operators.joins import with_priority
 from listwright.operators.ordering import CHUNK_ROWS, global_ordinal, with_commas
-from listwright.operators.stats import run_stats, source_stats
+from listwright.operators.stats import source_stats, value_stats
+from listwright.storage import stored
 
 
 def consolidate(
@@ -49,29 +50,25 @@ def consolidate_by_kind(
 
 def consolidate_emails(email_lines: DataFrame, names: DataFrame) -> DataFrame:
     """Unique emails, local parts, domains, names and names combined with local parts:
-    ``(part, value)``."""
-    emails = parse_emails(email_lines)
-    plain = names.select(F.lit("name").alias("part"), F.col("nick").alias("value")).distinct()
-    combined = combine_names(names, emails).select(
-        F.lit("combined").alias("part"), F.col("nick").alias("value")
-    )
-    return email_uniques(emails).unionByName(plain).unionByName(combined)
+    ``(part, value)``, in one pass over each input."""
+    tagged = [
+        tag_values(parse_emails(email_lines), {**EMAIL_PARTS, "combined": "local_part"}),
+        tag_values(names, {"name": "nick", "combined": "nick"}),
+    ]
+    return tagged[0].unionByName(tagged[1]).distinct()
 
 
 def stats_report(lines: DataFrame, registry: DataFrame) -> DataFrame:
     """Raw lines, normalised, new and accumulated values per source in priority order."""
-    per_file, deduped = _counted(lines, registry)
-    return source_stats(lines, per_file, deduped, registry)
+    per_file = stored(_per_file(lines, registry), "per-file")
+    return source_stats(lines, per_file, dedupe_priority(per_file), registry)
 
 
 def stats_total(lines: DataFrame, registry: DataFrame) -> DataFrame:
-    """Normalised and deduplicated totals and the duplicate rate."""
-    return run_stats(*_counted(lines, registry))
+    """Normalised and deduplicated totals and the duplicate rate, in one pass."""
+    return value_stats(_per_file(lines, registry))
 
 
-def _counted(lines: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Uniques per file, and the deduplicated list taken from them: the lines are
-    normalised once, as both use the same shuffle."""
+def _per_file(lines: DataFrame, registry: DataFrame) -> DataFrame:
     names = normalize_names(with_priority(lines, registry))
-    per_file = dedupe_per_file(names, within=("source", "priority", "file"))
-    return per_file, dedupe_priority(per_file)
+    return dedupe_per_file(names, within=("source", "priority", "file"))

@@ -74,12 +74,16 @@ def lines_from_text(
 
     A final line break ends the last line, it does not start another one.
     """
-    body = F.regexp_replace(as_column(text), r"(\r\n|\r|\n)\z", "")
-    return df.where(as_column(text) != "").select(
-        as_column(source).alias("source"),
-        as_column(file).alias("file"),
-        F.posexplode(F.split(body, r"\r\n|\r|\n")).alias("line_no", "value"),
-    ).withColumn("line_no", F.col("line_no").cast("long"))
+    breaks = F.replace(as_column(text), F.lit("\r\n"), F.lit("\n"))
+    body = F.replace(breaks, F.lit("\r"), F.lit("\n"))
+    unended = F.when(F.endswith("_body", F.lit("\n")), F.substring("_body", F.lit(1), F.length("_body") - 1))
+    return (
+        df.where(as_column(text) != "")
+        .select(as_column(source).alias("source"), as_column(file).alias("file"), body.alias("_body"))
+        .withColumn("_body", unended.otherwise(F.col("_body")))
+        .select("source", "file", F.posexplode(F.split("_body", "\n")).alias("line_no", "value"))
+        .withColumn("line_no", F.col("line_no").cast("long"))
+    )
 
 
 def lines_from_table(
@@ -105,9 +109,10 @@ def to_text(df: DataFrame, value: ColumnOrName) -> Column:
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition a scan that has fewer tasks than there are cores, on a key that is
-    unique or nearly so. A large input has enough tasks and is not shuffled."""
+    unique or nearly so. A large input has enough tasks and is not shuffled. There are
+    several tasks per core, as rows differ in length."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(4 * cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def merge_lists(

@@ -60,3 +60,24 @@ def lookup_join(
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int"))
     return salted.join(lookup.withColumn("_salt", salts), [*keys, "_salt"], how).drop("_salt")
+
+
+def reduce_to(
+    big: DataFrame, values: DataFrame, key: str, max_rows: int = LOOKUP_ROWS
+) -> DataFrame:
+    """The keys of a large table that occur among ``values``, when those are few; else all.
+
+    Few values are fetched and broadcast, so the large table is neither shuffled nor sorted.
+    """
+    head = values.select(key).limit(max_rows + 1).toArrow()
+    if head.num_rows > max_rows:
+        return big.select(key)
+    small = big.sparkSession.createDataFrame(head, schema=values.select(key).schema)
+    return big.select(key).join(F.broadcast(small), key, "left_semi")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a table that several results are taken from, and go on from the written files."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from listwright.operators.dedupe import incremental_new, normalize_names
 from listwright.sources.lines import readable
-from listwright.storage import fresh_path
+from listwright.storage import fresh_path, reduce_to
 
 
 def stream_lines(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
@@ -51,12 +51,15 @@ def run_available(stream: DataFrame, path: str | None = None) -> DataFrame:
 def append_new(stream: DataFrame, table: str, key: str = "value") -> None:
     """Append the values of the stream that the stored table lacks, batch after batch.
 
-    A batch that is run again adds nothing, as its values are stored by then.
+    A batch that is run again adds nothing, as its values are stored by then. The values of
+    a small batch are broadcast, so the stored table is only scanned.
     """
 
     def append(batch: DataFrame, _: int) -> None:
-        new = incremental_new(batch, _stored(batch, table, key), key)
-        new.write.mode("append").parquet(table)
+        values = batch.distinct().persist()
+        known = reduce_to(_stored(batch, table, key), values, key)
+        incremental_new(values, known, key).write.mode("append").parquet(table)
+        values.unpersist()
 
     query = (
         stream.select(key)
