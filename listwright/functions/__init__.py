@@ -28,7 +28,10 @@ from listwright.functions.paths import (
 )
 from listwright.functions.text import (
     NAME_STEPS,
+    STRICT_STEPS,
     collapse,
+    fold_groups,
+    fold_letters,
     is_ascii,
     local_part_name,
     lower,
@@ -43,12 +46,15 @@ __all__ = [
     "KINDS",
     "NAME_COLUMNS",
     "NAME_STEPS",
+    "STRICT_STEPS",
     "base_name",
     "chunk_name",
     "collapse",
     "email_parts",
     "extension",
     "file_category",
+    "fold_groups",
+    "fold_letters",
     "is_ascii",
     "is_binary_content",
     "is_binary_extension",

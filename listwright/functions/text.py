@@ -77,17 +77,34 @@ def to_ascii(c: ColumnOrName, extra: Mapping[str, str] | None = None) -> Column:
 
     Characters outside the map stay as they are, combining marks are deleted.
     ``extra`` adds or replaces single characters, for other scripts.
-    ASCII-only values skip the work: that is decided per row by a byte count.
+    """
+    return fold_groups(fold_letters(c, extra), extra)
+
+
+def fold_letters(c: ColumnOrName, extra: Mapping[str, str] | None = None) -> Column:
+    """The part of ``to_ascii`` that puts at most one character in the place of one.
+
+    ASCII-only values skip it: that is decided per row by a byte count.
     """
     c = as_column(c)
-    table = {**LETTERS, **LETTER_GROUPS, **(extra or {})}
-    singles = {k: v for k, v in table.items() if len(v) == 1}
+    table = {**LETTERS, **(extra or {})}
+    letters = {k: v for k, v in table.items() if len(v) == 1}
     deleted = "".join(k for k, v in table.items() if not v) + _COMBINING_MARKS
-    mapped = F.translate(c, "".join(singles) + deleted, "".join(singles.values()))
-    for letter, group in table.items():
+    folded = F.translate(c, "".join(letters) + deleted, "".join(letters.values()))
+    return F.when(is_ascii(c), c).otherwise(folded)
+
+
+def fold_groups(c: ColumnOrName, extra: Mapping[str, str] | None = None) -> Column:
+    """The part of ``to_ascii`` that puts several characters in the place of one.
+
+    After the single letters few values have anything left to do.
+    """
+    c = as_column(c)
+    folded = c
+    for letter, group in {**LETTER_GROUPS, **(extra or {})}.items():
         if len(group) > 1:
-            mapped = F.replace(mapped, F.lit(letter), F.lit(group))
-    return F.when(is_ascii(c), c).otherwise(mapped)
+            folded = F.replace(folded, F.lit(letter), F.lit(group))
+    return F.when(is_ascii(c), c).otherwise(folded)
 
 
 def whitelist(c: ColumnOrName) -> Column:
@@ -106,11 +123,6 @@ def collapse(c: ColumnOrName) -> Column:
     return trim_all(F.regexp_replace(as_column(c), r"(?U)[\s\x1c-\x1f]+", " "))
 
 
-def plain_letters(c: ColumnOrName) -> Column:
-    """Lower-case ASCII form; null becomes the empty string."""
-    return to_ascii(lower(F.coalesce(as_column(c), F.lit(""))))
-
-
 def single_spaces(c: ColumnOrName) -> Column:
     """Collapse for values without other white space than spaces: rows without a double
     space are only trimmed."""
@@ -119,9 +131,16 @@ def single_spaces(c: ColumnOrName) -> Column:
     return F.trim(single.otherwise(c))
 
 
+def lower_or_empty(c: ColumnOrName) -> Column:
+    """Lower-case form; null becomes the empty string."""
+    return lower(F.coalesce(as_column(c), F.lit("")))
+
+
 # The name normaliser, step by step. White space at the ends needs no trim of its own:
 # what the whitelist leaves of it are spaces.
-NAME_STEPS = (plain_letters, whitelist, single_spaces)
+NAME_STEPS = (lower_or_empty, fold_letters, fold_groups, whitelist, single_spaces)
+# The same without repair, for names that are kept or dropped as they are.
+STRICT_STEPS = (trim_all, lower, fold_letters, fold_groups)
 
 
 def normalize_name(c: ColumnOrName) -> Column:

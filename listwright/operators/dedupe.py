@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listwright.functions import NAME_STEPS, is_strict_name, lower, to_ascii, trim_all
+from listwright.functions import NAME_STEPS, STRICT_STEPS, is_strict_name, trim_all
 from listwright.sources.lines import add_computed, link_titles
 
 LINE_ORDER = ("priority", "file", "line_no")
@@ -24,7 +24,7 @@ def normalize_names(lines: DataFrame, mode: str = "repair", value: str = "origin
     if mode == "repair":
         return add_computed(lines, "nick", value, *NAME_STEPS).where("nick <> ''")
     if mode == "strict":
-        named = add_computed(lines, "nick", value, trim_all, lower, to_ascii)
+        named = add_computed(lines, "nick", value, *STRICT_STEPS)
         return named.where(is_strict_name("nick"))
     raise ValueError(f"unknown mode {mode}")
 
