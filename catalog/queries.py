@@ -47,7 +47,8 @@ def registry_check(spark, sf):
 @query
 def scan_lines(spark, sf):
     path = fresh_path(spark, "texts")
-    b.documents(spark, sf).select("source", "text").write.partitionBy("source").text(path)
+    texts = b.table(spark, sf, "documents").select("source", "text")
+    texts.write.partitionBy("source").text(path)
     slug = F.regexp_extract("file", r"/source=([^/]+)/", 1)
     scanned = sources.scan_lines(spark, path, source=slug, pattern="*.txt", recursive=True)
     return scanned.groupBy("source", "original").agg(F.count("*").alias("n"))
@@ -509,7 +510,7 @@ def stream_dedupe(spark, sf):
     path = fresh_path(spark, "arriving")
     b.raw_lines(spark, sf).select("value").write.text(path)
     return streaming.run_available(
-        streaming.stream_dedupe(streaming.stream_lines(spark, path, files_per_batch=3))
+        streaming.stream_dedupe(streaming.stream_lines(spark, path, files_per_batch=16))
     )
 
 
@@ -530,7 +531,7 @@ def stream_append_new(spark, sf):
     known = raw.where(F.col("file") % 2 == 0).select("value").distinct()
     write_table(known, table)
     raw.where(F.col("file") % 2 == 1).select("value").write.text(path)
-    streaming.append_new(streaming.stream_lines(spark, path, files_per_batch=3), table)
+    streaming.append_new(streaming.stream_lines(spark, path, files_per_batch=16), table)
     return spark.read.parquet(table)
 
 

@@ -31,20 +31,20 @@ def scan_delimited(
     header: bool = True,
     column: str | None = None,
     strict: bool = False,
+    same_header: bool = False,
     **globs: str | bool,
 ) -> DataFrame:
     """Name column of CSV or TSV files: ``(source, file, block, line_no, original)``.
 
     All cells are read as text. Missing cells are null. A row with too many cells is left
     out; with ``strict`` the whole file that holds it is. See ``quarantine_delimited``.
-    Files may have different headers.
+    Files may have different headers: unless ``same_header``, a first pass looks for them.
     """
     scans = []
-    for table in _delimited_tables(spark, paths, sep, header, globs):
+    for table in _delimited_tables(spark, paths, sep, header and not same_header, header, globs):
         chosen = column or pick_name_column(table.drop(SURPLUS, RAW))
-        scans.append(
-            _placed(table, F.col(chosen), source, F.col(SURPLUS).isNotNull().alias("_bad"))
-        )
+        bad = F.col(SURPLUS).isNotNull().alias("_bad")
+        scans.append(_placed(table, _quoted(chosen), source, bad))
     rows = _union(scans)
     good = rows.where(~F.col("_bad")).drop("_bad")
     if not strict:
@@ -59,12 +59,13 @@ def quarantine_delimited(
     source: str,
     sep: str = ",",
     header: bool = True,
+    same_header: bool = False,
     **globs: str | bool,
 ) -> DataFrame:
     """The rows with too many cells, as quarantine rows."""
     scans = []
-    for table in _delimited_tables(spark, paths, sep, header, globs):
-        cells = [F.col(f"`{c}`") for c in table.columns if c != RAW]
+    for table in _delimited_tables(spark, paths, sep, header and not same_header, header, globs):
+        cells = [_quoted(c) for c in table.columns if c != RAW]
         raw = F.coalesce(F.col(RAW), F.concat_ws(sep, *cells))
         scans.append(_placed(table.where(F.col(SURPLUS).isNotNull()), raw, source))
     rows = _union(scans)
@@ -72,14 +73,23 @@ def quarantine_delimited(
 
 
 def _delimited_tables(
-    spark: SparkSession, paths: str | list[str], sep: str, header: bool, globs: dict
+    spark: SparkSession,
+    paths: str | list[str],
+    sep: str,
+    look_for_headers: bool,
+    header: bool,
+    globs: dict,
 ) -> list[DataFrame]:
     """One table per distinct header. A surplus column catches the first cell too many."""
     options = {"sep": sep, "escape": '"', "header": header, **_glob_options(globs)}
+    if look_for_headers:
+        groups = _header_groups(spark, paths, globs)
+    else:
+        groups = [paths]
     tables = []
-    for group, listed in _header_groups(spark, paths, header, globs):
-        read = options if not listed else {**options, "recursiveFileLookup": False}
-        names = spark.read.options(**read).csv(group).columns
+    for group in groups:
+        read = options if group is paths else {**options, "recursiveFileLookup": False}
+        names = [n.lstrip("\ufeff") for n in spark.read.options(**read).csv(group).columns]
         fields = [T.StructField(n, T.StringType()) for n in [*names, SURPLUS, RAW]]
         reader = spark.read.options(**read).schema(T.StructType(fields))
         tables.append(reader.option("columnNameOfCorruptRecord", RAW).csv(group))
@@ -87,22 +97,20 @@ def _delimited_tables(
 
 
 def _header_groups(
-    spark: SparkSession, paths: str | list[str], header: bool, globs: dict
-) -> list[tuple[str | list[str], bool]]:
+    spark: SparkSession, paths: str | list[str], globs: dict
+) -> list[str | list[str]]:
     """Paths grouped by header line, found in one distributed pass; the driver sees one
     entry per file only when the headers differ."""
-    if not header:
-        return [(paths, False)]
     lines = scan_raw_lines(spark, paths, "", **globs).where(F.col("block") == 0)
+    if len(lines.inputFiles()) == 1:
+        return [paths]
     heads = lines.groupBy("file").agg(F.min_by("value", "line_no").alias("head"))
-    heads = heads.groupBy("head").agg(F.count("*").alias("n"))
-    if heads.limit(2).count() < 2:
-        return [(paths, False)]
-    files = lines.groupBy("file").agg(F.min_by("value", "line_no").alias("head"))
+    if heads.select("head").distinct().limit(2).count() < 2:
+        return [paths]
     groups: dict[str, list[str]] = {}
-    for row in files.orderBy("file").toLocalIterator():
+    for row in heads.orderBy("file").toLocalIterator():
         groups.setdefault(row["head"], []).append(row["file"])
-    return [(group, True) for group in groups.values()]
+    return list(groups.values())
 
 
 def scan_json(
@@ -119,7 +127,7 @@ def scan_json(
     chosen = column or pick_name_column(table)
     if column is None and len(table.columns) > 1 and chosen == table.columns[0]:
         chosen = _first_json_key(spark, paths, globs) or chosen
-    return _placed(table, to_text(table, F.col(f"`{chosen}`")), source)
+    return _placed(table, to_text(table, _quoted(chosen)), source)
 
 
 def _first_json_key(
@@ -149,7 +157,7 @@ def scan_parquet(
         F.col("_metadata.file_path").alias("file"),
         F.lit(0).cast("long").alias("block"),
         F.col("_metadata.row_index").alias("line_no"),
-        to_text(table, F.col(f"`{chosen}`")).alias("original"),
+        to_text(table, _quoted(chosen)).alias("original"),
     )
 
 
@@ -233,6 +241,10 @@ def _quarantine_row(line_no: str, phase: str, reason: str, raw: str) -> list[Col
     ]
 
 
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _placed(table: DataFrame, value: ColumnOrName, source: str, *extra: Column) -> DataFrame:
     return table.select(
         F.lit(source).alias("source"),

@@ -55,6 +55,14 @@ def test_csv_scan(spark, tmp_path):
     assert bad.columns == list(files.QUARANTINE_COLUMNS)
 
 
+def test_csv_column_names(spark, tmp_path):
+    write(tmp_path, a_dot_csv="\ufeffname,x\nAnn,1\n", odd__b_dot_csv="a.`b,c\nBob,1\n")
+    assert values(files.scan_delimited(spark, str(tmp_path / "a.csv"), "s")) == ["Ann"]
+    assert values(files.scan_delimited(spark, str(tmp_path / "odd"), "s", same_header=True)) == ["Bob"]
+    chosen = files.scan_delimited(spark, str(tmp_path / "a.csv"), "s", column="x")
+    assert values(chosen) == ["1"]
+
+
 def test_csv_without_header(spark, tmp_path):
     write(tmp_path, a_dot_csv="Ann,1\nBob,2\n")
     scanned = files.scan_delimited(spark, str(tmp_path), "s", header=False)
