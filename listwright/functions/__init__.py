@@ -3,15 +3,16 @@
 from listwright.functions.filters import (
     KINDS,
     NAME_COLUMNS,
+    domain,
     email_parts,
     is_email,
     is_strict_name,
     kinds,
+    local_part,
     looks_like_email,
     looks_like_name,
     looks_like_token,
     pick_name_column,
-    split_email,
 )
 from listwright.functions.paths import (
     base_name,
@@ -27,6 +28,7 @@ from listwright.functions.paths import (
     stem,
 )
 from listwright.functions.text import (
+    LOCAL_PART_STEPS,
     NAME_STEPS,
     STRICT_STEPS,
     collapse,
@@ -44,12 +46,14 @@ from listwright.functions.text import (
 
 __all__ = [
     "KINDS",
+    "LOCAL_PART_STEPS",
     "NAME_COLUMNS",
     "NAME_STEPS",
     "STRICT_STEPS",
     "base_name",
     "chunk_name",
     "collapse",
+    "domain",
     "email_parts",
     "extension",
     "file_category",
@@ -62,6 +66,7 @@ __all__ = [
     "is_email",
     "is_strict_name",
     "kinds",
+    "local_part",
     "local_part_name",
     "looks_like_email",
     "looks_like_name",
@@ -72,7 +77,6 @@ __all__ = [
     "normalize_name",
     "path_parts",
     "pick_name_column",
-    "split_email",
     "stem",
     "strip_commas",
     "to_ascii",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listwright.functions._columns import ColumnOrName, as_column
+from listwright.functions._columns import ColumnOrName, as_column, chain
 from listwright.functions.text import local_part_name, lower, trim_all
 
 # The strict form of a name, and the columns that hold names in
@@ -38,16 +38,27 @@ def email_parts(c: ColumnOrName) -> Column:
     The value is split at the first ``@``; null when it is no email or nothing is left of
     the local part.
     """
-    return split_email(lower(trim_all(c)))
+    return chain(c, trim_all, lower, _split)
 
 
-def split_email(email: ColumnOrName) -> Column:
-    """The same for a value that is trimmed and lower-case."""
+def _split(email: ColumnOrName) -> Column:
+    def parts(v: Column) -> Column:
+        found = F.struct(v["email"], v["name"].alias("local_part"), domain(v["email"]).alias("domain"))
+        return F.when(is_email(v["email"]) & (v["name"] != ""), found)
+
+    name = local_part_name(local_part(email))
+    return chain(F.struct(as_column(email).alias("email"), name.alias("name")), parts)
+
+
+def local_part(email: ColumnOrName) -> Column:
+    """What stands before the first ``@``."""
+    return F.substring_index(as_column(email), "@", 1)
+
+
+def domain(email: ColumnOrName) -> Column:
+    """What stands after the first ``@``."""
     email = as_column(email)
-    local = local_part_name(F.substring_index(email, "@", 1))
-    domain = F.substring(email, F.instr(email, "@") + 1, F.length(email))
-    parts = F.struct(email.alias("email"), local.alias("local_part"), domain.alias("domain"))
-    return F.when(is_email(email) & (local != ""), parts)
+    return F.substring(email, F.instr(email, "@") + 1, F.length(email))
 
 
 def looks_like_email(c: ColumnOrName) -> Column:

@@ -8,12 +8,11 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from listwright.functions._columns import ColumnOrName, as_column
+from listwright.functions._columns import ColumnOrName, as_column, chain
 
 # The characters Unicode counts as white space, together with the
 # four ASCII separators U+001C..U+001F.
@@ -78,7 +77,7 @@ def to_ascii(c: ColumnOrName, extra: Mapping[str, str] | None = None) -> Column:
     Characters outside the map stay as they are, combining marks are deleted.
     ``extra`` adds or replaces single characters, for other scripts.
     """
-    return fold_groups(fold_letters(c, extra), extra)
+    return chain(c, lambda x: fold_letters(x, extra), lambda x: fold_groups(x, extra))
 
 
 def fold_letters(c: ColumnOrName, extra: Mapping[str, str] | None = None) -> Column:
@@ -139,18 +138,20 @@ def lower_or_empty(c: ColumnOrName) -> Column:
 # The name normaliser, step by step. White space at the ends needs no trim of its own:
 # what the whitelist leaves of it are spaces.
 NAME_STEPS = (lower_or_empty, fold_letters, fold_groups, whitelist, single_spaces)
+# The local part of an email, whose inner spaces are not collapsed.
+LOCAL_PART_STEPS = (fold_letters, fold_groups, whitelist)
 # The same without repair, for names that are kept or dropped as they are.
 STRICT_STEPS = (trim_all, lower, fold_letters, fold_groups)
 
 
 def normalize_name(c: ColumnOrName) -> Column:
     """Plain form of a name: lower-case, transliterated, whitelisted, collapsed, trimmed."""
-    return reduce(lambda value, step: step(value), NAME_STEPS, as_column(c))
+    return chain(c, *NAME_STEPS)
 
 
 def local_part_name(c: ColumnOrName) -> Column:
     """Plain form of the local part of an email; inner spaces are not collapsed."""
-    return whitelist(to_ascii(c))
+    return chain(c, *LOCAL_PART_STEPS)
 
 
 def strip_commas(c: ColumnOrName) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listwright.functions import lower, split_email, trim_all
+from listwright.functions import LOCAL_PART_STEPS, domain, is_email, local_part, lower, trim_all
 from listwright.sources.lines import add_computed
 
 
@@ -14,10 +14,13 @@ def parse_emails(lines: DataFrame, value: str = "original") -> DataFrame:
 
     The three stay together on their row.
     """
+    kept = [c for c in lines.columns if c != value]
     likely = lines.where(F.contains(F.col(value), F.lit("@")))
-    parsed = add_computed(likely, "_parts", value, trim_all, lower, split_email).drop(value)
-    kept = [c for c in parsed.columns if c != "_parts"]
-    return parsed.where(F.col("_parts").isNotNull()).select(*kept, "_parts.*")
+    found = add_computed(likely, "email", value, trim_all, lower).where(is_email("email"))
+    named = add_computed(found, "local_part", local_part("email"), *LOCAL_PART_STEPS)
+    return named.where("local_part <> ''").select(
+        *kept, "email", "local_part", domain("email").alias("domain")
+    )
 
 
 EMAIL_PARTS = {"email": "email", "local_part": "local_part", "domain": "domain"}
