@@ -15,6 +15,7 @@ from listwright.functions.filters import (
     pick_name_column,
 )
 from listwright.functions.paths import (
+    REPAIR_STEPS,
     base_name,
     chunk_name,
     extension,
@@ -49,6 +50,7 @@ __all__ = [
     "LOCAL_PART_STEPS",
     "NAME_COLUMNS",
     "NAME_STEPS",
+    "REPAIR_STEPS",
     "STRICT_STEPS",
     "base_name",
     "chunk_name",

@@ -7,7 +7,7 @@ import mimetypes
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from listwright.functions._columns import ColumnOrName, as_column
+from listwright.functions._columns import ColumnOrName, as_column, chain
 from listwright.functions.text import trim_all
 
 # Characters a file name must not hold, and its length limits.
@@ -73,20 +73,35 @@ def name_valid(name: ColumnOrName) -> Column:
     )
 
 
-def name_repair(name: ColumnOrName) -> Column:
-    """Valid form of a name: bad characters to ``_``, cut, stripped, never empty."""
-    clean = F.regexp_replace(as_column(name), BAD_NAME_CHARACTERS, "_")
+def replace_bad_characters(name: ColumnOrName) -> Column:
+    return F.regexp_replace(as_column(name), BAD_NAME_CHARACTERS, "_")
+
+
+def fit_length(name: ColumnOrName) -> Column:
+    """Cut a name that is too long, but keep its extension."""
+    name = as_column(name)
     # Leading dots do not start an extension.
-    ext = F.regexp_extract(clean, r"(?s)^\.*[^.].*?(\.[^.]*)$", 1)
-    head = F.substring(clean, F.lit(1), F.length(clean) - F.length(ext))
-    cut = F.when(ext == "", F.substring(clean, 1, MAX_NAME_LENGTH)).otherwise(
-        F.concat(F.substring(head, 1, KEPT_STEM_LENGTH), ext)
+    ext = F.regexp_extract(name, r"(?s)^\.*[^.].*?(\.[^.]*)$", 1)
+    bare = F.length(name) - F.length(ext)
+    cut = F.when(ext == "", F.substring(name, 1, MAX_NAME_LENGTH)).otherwise(
+        F.concat(F.substring(name, F.lit(1), F.least(bare, F.lit(KEPT_STEM_LENGTH))), ext)
     )
-    fitted = F.when(F.length(clean) > MAX_NAME_LENGTH, cut).otherwise(clean)
-    stripped = F.rtrim(trim_all(fitted), F.lit("."))
+    return F.when(F.length(name) > MAX_NAME_LENGTH, cut).otherwise(name)
+
+
+def strip_ends(name: ColumnOrName) -> Column:
+    stripped = F.rtrim(trim_all(name), F.lit("."))
     return F.coalesce(F.nullif(stripped, F.lit("")), F.lit(UNNAMED))
 
 
+REPAIR_STEPS = (replace_bad_characters, fit_length, strip_ends)
+
+
+def name_repair(name: ColumnOrName) -> Column:
+    """Valid form of a name: bad characters to ``_``, cut, stripped, never empty."""
+    return chain(name, *REPAIR_STEPS)
+
+
 def file_category(ext: ColumnOrName) -> Column:
     """Category of a lower-case extension, with or without its dot."""
     bare = F.ltrim(as_column(ext), F.lit("."))

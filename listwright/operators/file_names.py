@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from listwright.functions import stem
 from listwright.operators.ordering import group_ordinal
+from listwright.sources.lines import add_computed
 
 
 def conflict_suffix(
@@ -37,14 +38,14 @@ def _taken_numbers(
     files: DataFrame, repeated: DataFrame, within: tuple[str, ...], name: str
 ) -> DataFrame:
     """Numbers that would turn a repeated name into one that exists."""
-    full = F.col(name)
-    plain = stem(full)
-    number = F.regexp_extract(plain, r"_([1-9]\d{0,8})$", 1)
-    ext = F.substring(full, F.length(plain) + 1, F.length(full))
-    bare = F.substring(plain, F.lit(1), F.length(plain) - F.length(number) - 1)
-    named = files.select(*within, full, number.alias("_n"), F.concat(bare, ext).alias("_base"))
-    candidates = named.where("_n <> ''").select(
-        *within, F.col("_base").alias(name), F.col("_n").cast("long").alias("number")
+    ended = r"_([1-9]\d{0,8})$"
+    labelled = add_computed(files.select(*within, name), "_stem", name, stem)
+    numbered = labelled.where(F.rlike("_stem", F.lit(ended)))
+    ext = F.substring(F.col(name), F.length("_stem") + 1, F.length(name))
+    candidates = numbered.select(
+        *within,
+        F.concat(F.regexp_replace("_stem", ended, ""), ext).alias(name),
+        F.regexp_extract("_stem", ended, 1).cast("long").alias("number"),
     )
     wanted = repeated.select(*within, name).distinct()
     return candidates.distinct().join(wanted, [*within, name], "left_semi")

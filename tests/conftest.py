@@ -11,6 +11,7 @@ from listwright.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = str(tmp_path_factory.mktemp("shared"))
-    session = local_session(spark__checkpoint__dir=shared)
+    # A query whose generated code does not compile fails instead of running interpreted.
+    session = local_session(spark__checkpoint__dir=shared, spark__sql__codegen__fallback="false")
     yield session
     session.stop()
