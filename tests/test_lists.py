@@ -161,6 +161,12 @@ def test_sample_and_blocks(spark, tmp_path):
     assert text_of(tmp_path / "b") == "v000,v001,\nv002,v003,\nv004,\n"
 
 
+def test_text_input_of_blocks_is_trimmed(spark):
+    df = spark.createDataFrame([(0, " a "), (1, " "), (2, "b")], "line_no int, value string")
+    numbered = ordering.global_ordinal(ordering.trimmed_values(df, "value"), ("line_no",))
+    assert [r.line for r in ordering.join_blocks(numbered, "value").collect()] == ["a,b,"]
+
+
 def test_line_and_kind_sinks(spark, tmp_path):
     df = spark.createDataFrame([(2, "abcdefg"), (1, "u@x.org"), (3, "abc")], "i int, value string")
     write_lines(df, str(tmp_path / "l"), "value", order=("i",))
