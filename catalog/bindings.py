@@ -91,4 +91,4 @@ def _host(url: str) -> Column:
 
 
 def _depth(url: str) -> Column:
-    return F.size(F.split(url, "/")) - 4
+    return F.size(F.split(url, "/")) - 5

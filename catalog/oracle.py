@@ -78,7 +78,7 @@ SUFFIX = r"regexp_extract({0}, '^.+?(\.[^.]+)$', 1)"
 MANIFEST = f"""paged AS (SELECT url AS path, CAST(sum(length(html)) AS BIGINT) AS length
     FROM pages GROUP BY url),
   based AS (SELECT regexp_extract(path, '://([^/]*)', 1) AS source, path, {BASE} AS name, length,
-    CAST(length(path) - length(replace(path, '/', '')) - 3 AS INTEGER) AS depth FROM paged),
+    CAST(length(path) - length(replace(path, '/', '')) - 4 AS INTEGER) AS depth FROM paged),
   manifest AS (SELECT *, lower({SUFFIX.format("name")}) AS ext,
     name[1:length(name) - length({SUFFIX.format("name")})] AS stem FROM based)"""
 PAGE_LINES = """page_lines AS (SELECT regexp_extract(url, '://([^/]*)', 1) AS source, url AS file,

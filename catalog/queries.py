@@ -171,7 +171,7 @@ def manifest_valid(spark, sf):
 
 @query
 def find_data_files(spark, sf):
-    """Files to read per host: none has a data extension, so those of the top folder."""
+    """Files to read per host: where none has a data extension, those of the top folder."""
     return manifest.find_data_files(b.manifest(spark, sf)).select("source", "path", "ext_rank")
 
 
