@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from listwright.llm import bpe
+from listwright.llm import bpe, simhash
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -20,6 +21,16 @@ def op8_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return near.select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_trie": op8_bpe_trie,
+    "op10_simhash": op10_simhash,
 }
