@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listwright.llm import bpe, simhash
+from listwright.llm import bpe, repair, simhash
+from listwright.storage import fresh_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -17,6 +18,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op7_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-shards")
+    repair.write_shards(_table(spark, sf_dir, "documents"), path, VOCABULARY)
+    return repair.read_documents(spark, path)
+
+
 def op8_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(_table(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -31,6 +38,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_repair": op7_repair,
     "op8_bpe_trie": op8_bpe_trie,
     "op10_simhash": op10_simhash,
 }
