@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listwright.llm import bpe, line_dedup, repair, simhash
+from listwright.llm import bpe, line_dedup, quality, repair, simhash
 from listwright.storage import fresh_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +23,12 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.kept_digests(docs, line_dedup.keep_bitmaps(docs))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classified(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
 def op7_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-shards")
     repair.write_shards(_table(spark, sf_dir, "documents"), path, VOCABULARY)
@@ -44,6 +50,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
+    "op6_quality": op6_quality,
     "op7_repair": op7_repair,
     "op8_bpe_trie": op8_bpe_trie,
     "op10_simhash": op10_simhash,
