@@ -3,6 +3,67 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {
+    "op1_quality_rules": r"""
+WITH crc_table AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda n: list_reduce(
+    list_prepend(n, range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS t
+), docs AS MATERIALIZED (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+), placed AS MATERIALIZED (
+  SELECT doc_id, unnest(words) AS a, unnest(words[2:]) AS b, unnest(words[3:]) AS c,
+         unnest(words[4:]) AS d, unnest(words[5:]) AS e, unnest(range(len(words))) AS i
+  FROM docs
+), windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c, d, e) AS n
+  FROM placed WHERE e IS NOT NULL
+), repeats AS (
+  SELECT doc_id, count(DISTINCT j) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM windows WHERE n > 1) GROUP BY doc_id
+), grams AS MATERIALIZED (
+  SELECT doc_id, 0 AS kind, a AS gram FROM placed WHERE a IS NOT NULL
+  UNION ALL SELECT doc_id, 1, a || ' ' || b FROM placed WHERE b IS NOT NULL
+), hexed AS (
+  SELECT kind, gram, hex(encode(gram)) AS h FROM (SELECT DISTINCT kind, gram FROM grams)
+), buckets AS MATERIALIZED (
+  SELECT kind, gram, kind * 65536 + xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(len(h) // 2),
+      lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+    lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1]))) % 65536 AS bucket
+  FROM hexed, crc_table
+), counts AS (
+  SELECT bucket, kind, count(*) AS r, count(*) FILTER (l.doc_id IS NOT NULL) AS t
+  FROM grams g JOIN buckets USING (kind, gram)
+  LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND toxic = 0) l
+    ON g.doc_id = l.doc_id
+  GROUP BY bucket, kind
+), weights AS (
+  SELECT bucket, round(ln(((t + 1.0::DOUBLE) / (sum(t) OVER (PARTITION BY kind) + 65536))
+    / ((r + 1.0::DOUBLE) / (sum(r) OVER (PARTITION BY kind) + 65536))) * 1000000)::BIGINT AS weight
+  FROM counts
+), scores AS (
+  SELECT doc_id, count(*) AS n_grams, sum(weight)::BIGINT AS llr_sum
+  FROM grams JOIN buckets USING (kind, gram) JOIN weights USING (bucket) GROUP BY doc_id
+), measured AS (
+  SELECT d.doc_id, len(words)::BIGINT AS n_words,
+         length(array_to_string(words, ''))::BIGINT AS word_chars,
+         (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(n_grams, 0) AS n_grams, coalesce(llr_sum, 0) AS llr_sum
+  FROM docs d LEFT JOIN lines l ON d.doc_id = l.doc_id
+  LEFT JOIN repeats r ON d.doc_id = r.doc_id LEFT JOIN scores s ON d.doc_id = s.doc_id
+)
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+         AND llr_sum >= -300000 * n_grams AS kept
+FROM measured
+""",
     "op4_line_dedup": r"""
 WITH cut AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

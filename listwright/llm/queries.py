@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listwright.llm import bpe, line_dedup, quality, repair, simhash
+from listwright.llm import bpe, importance, line_dedup, quality, repair, simhash
 from listwright.storage import fresh_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,6 +18,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = _table(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0")
+    return importance.quality_rules(_table(spark, sf_dir, "documents"), trusted)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return line_dedup.kept_digests(docs, line_dedup.keep_bitmaps(docs))
@@ -49,6 +54,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op4_line_dedup": op4_line_dedup,
     "op6_quality": op6_quality,
     "op7_repair": op7_repair,
