@@ -63,6 +63,21 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
          AND llr_sum >= -300000 * n_grams AS kept
 FROM measured
+""",
+    "op3_warc": r"""
+WITH hashed AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha1(encode(coalesce(html, ''))) AS h
+  FROM pages
+), digits AS (
+  SELECT page_id, list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + (('0x' || substr(h, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) % 32, 1)) AS d
+  FROM hashed
+), firsts AS (SELECT h, min(page_id) AS first FROM hashed GROUP BY h)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, array_to_string(d, '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM hashed JOIN digits USING (page_id) JOIN firsts USING (h)
 """,
     "op4_line_dedup": r"""
 WITH cut AS (

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listwright.llm import bpe, importance, line_dedup, quality, repair, simhash
+from listwright.llm import bpe, importance, line_dedup, quality, repair, simhash, warc
 from listwright.storage import fresh_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +23,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.quality_rules(_table(spark, sf_dir, "documents"), trusted)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    warc.write_archive(_table(spark, sf_dir, "pages"), path)
+    return warc.record_index(spark, path).withColumnRenamed("key", "page_id")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return line_dedup.kept_digests(docs, line_dedup.keep_bitmaps(docs))
@@ -55,6 +61,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_warc": op3_warc,
     "op4_line_dedup": op4_line_dedup,
     "op6_quality": op6_quality,
     "op7_repair": op7_repair,
