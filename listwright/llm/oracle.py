@@ -63,6 +63,45 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
          AND llr_sum >= -300000 * n_grams AS kept
 FROM measured
+""",
+    "op2_url_lists": r"""
+WITH parsed AS (
+  SELECT page_id, url,
+    lower(regexp_extract(coalesce(url, ''),
+      '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+    regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path,
+    ('0x' || substr(md5(coalesce(url, '')), 1, 7))::BIGINT % 365 * 86400 + page_id % 86400
+      AS fetched_at
+  FROM pages
+), labelled AS (SELECT *, string_split(host, '.') AS parts FROM parsed WHERE host <> ''
+), covered AS (
+  SELECT page_id, unnest(list_transform(range(1, len(parts) + 1),
+                         lambda i: array_to_string(parts[i:], '.'))) AS entry FROM labelled
+  UNION SELECT page_id, host || path FROM labelled WHERE length(path) > 1
+), numbered AS (
+  SELECT entry, ('0x' || substr(md5(entry), 1, 7))::BIGINT AS n
+  FROM (SELECT DISTINCT entry FROM covered)
+), log AS (
+  SELECT 'block' AS list, entry, true AS added, n % 300 * 86400 AS since FROM numbered WHERE n % 3 = 0
+  UNION ALL SELECT 'block', entry, false, (n % 300 + 20 + n % 90) * 86400
+  FROM numbered WHERE n % 6 = 0
+  UNION ALL SELECT 'block', entry, true, (n % 300 + 35 + n % 90) * 86400
+  FROM numbered WHERE n % 30 = 0
+  UNION ALL SELECT 'allow', entry, true, (n % 300 + 100) % 300 * 86400
+  FROM numbered WHERE n % 7 = 0
+), states AS (
+  SELECT *, lead(since) OVER (PARTITION BY list, entry ORDER BY since) AS valid_to FROM log
+), active AS (
+  SELECT p.page_id, s.list, s.entry,
+    row_number() OVER (PARTITION BY p.page_id
+                       ORDER BY length(s.entry) DESC, s.list, s.entry DESC) AS rank,
+    count(*) OVER (PARTITION BY p.page_id) AS n_active
+  FROM parsed p JOIN covered c USING (page_id) JOIN states s USING (entry)
+  WHERE s.added AND p.fetched_at >= s.since AND (s.valid_to IS NULL OR p.fetched_at < s.valid_to)
+)
+SELECT p.page_id, p.host, p.fetched_at, coalesce(a.n_active, 0) AS n_active, a.entry, a.list,
+       coalesce(a.list = 'allow', true) AS kept
+FROM parsed p LEFT JOIN active a ON p.page_id = a.page_id AND a.rank = 1
 """,
     "op3_warc": r"""
 WITH hashed AS (

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listwright.llm import bpe, importance, line_dedup, quality, repair, simhash, warc
+from listwright.llm import bpe, importance, line_dedup, quality, repair, simhash, url_lists, warc
 from listwright.storage import fresh_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +23,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.quality_rules(_table(spark, sf_dir, "documents"), trusted)
 
 
+def op2_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_lists.evaluate(url_lists.capture_times(pages), url_lists.dated_list(pages))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "warc")
     warc.write_archive(_table(spark, sf_dir, "pages"), path)
@@ -61,6 +66,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_url_lists": op2_url_lists,
     "op3_warc": op3_warc,
     "op4_line_dedup": op4_line_dedup,
     "op6_quality": op6_quality,
