@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listwright.llm import bpe, importance, line_dedup, quality, repair, simhash, url_lists, warc
+from listwright.llm import bpe, decontaminate, importance, line_dedup, quality, repair, simhash, url_lists, warc
 from listwright.storage import fresh_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -39,6 +39,12 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.kept_digests(docs, line_dedup.keep_bitmaps(docs))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classified(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_lists": op2_url_lists,
     "op3_warc": op3_warc,
     "op4_line_dedup": op4_line_dedup,
+    "op5_decontaminate": op5_decontaminate,
     "op6_quality": op6_quality,
     "op7_repair": op7_repair,
     "op8_bpe_trie": op8_bpe_trie,
