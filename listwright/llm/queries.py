@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listwright.llm import bpe, decontaminate, importance, line_dedup, quality, repair, simhash, url_lists, warc
+from listwright.llm import bpe, decontaminate, importance, line_dedup, quality, repair, simhash, suffix_runs, url_lists, warc
 from listwright.storage import fresh_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -61,6 +61,11 @@ def op8_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op9_suffix_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return suffix_runs.kept_digests(docs, suffix_runs.removals(docs))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return near.select(
@@ -79,5 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_repair": op7_repair,
     "op8_bpe_trie": op8_bpe_trie,
+    "op9_suffix_runs": op9_suffix_runs,
     "op10_simhash": op10_simhash,
 }
