@@ -121,31 +121,34 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 def _summed(rows: DataFrame, run, width: int) -> np.ndarray:
     """Add up the vectors that ``run`` makes of each partition: within groups of partitions, then
-    over groups, so that neither a task nor the driver holds a vector per partition. Vectors are
-    added in the order of their partitions, so that a repeated task gives the same sum."""
+    over groups, so that no task holds more than one sum and the driver gets a single vector.
+    Vectors are added in the order of their partitions, so that a repeated task gives the same."""
 
     def numbered(batches):
-        part = pa.array([TaskContext.get().partitionId()], pa.int32())
         for batch in run(batches):
-            yield pa.RecordBatch.from_arrays([part, batch.column(0)], ["part", "v"])
+            yield _numbered(batch.column(0))
 
     def add(batches):
         total = np.zeros(width)
         for batch in batches:
-            for vector in _matrix(batch.column(1), width):
-                total += vector
-        part = pa.array([TaskContext.get().partitionId()], pa.int32())
-        vector = pa.array([total], pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays([part, vector], ["part", "v"])
+            for vector in batch.column(1):
+                total += np.frombuffer(vector.as_buffer())
+        yield _numbered(pa.array([total.tobytes()], pa.binary()))
 
-    kind = "part int, v array<double>"
+    kind = "part int, v binary"
     parts = rows.mapInArrow(numbered, kind).repartition(SUM_GROUPS, "part")
-    sums = parts.sortWithinPartitions("part").mapInArrow(add, kind).collect()
-    return np.sum([np.zeros(width), *(r.v for r in sorted(sums))], axis=0)
+    sums = parts.sortWithinPartitions("part").mapInArrow(add, kind).repartition(1)
+    total = sums.sortWithinPartitions("part").mapInArrow(add, kind).first()
+    return np.frombuffer(total.v).copy() if total else np.zeros(width)
+
+
+def _numbered(vectors: pa.Array) -> pa.RecordBatch:
+    part = pa.array([TaskContext.get().partitionId()] * len(vectors), pa.int32())
+    return pa.RecordBatch.from_arrays([part, vectors], ["part", "v"])
 
 
 def _vector(total: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["v"])
+    return pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["v"])
 
 
 def _normal_equations(rows: DataFrame, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
@@ -251,13 +254,38 @@ def fold(key: str = "key", folds: int = 3) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % folds
 
 
+def _fitted(stats: DataFrame, labels: DataFrame, key: str) -> Model:
+    used = labels.select(F.col(key).alias("key"), F.col("quality").alias("label"))
+    return fit(stats, used.filter(fold() != 1), fold() == 2)
+
+
 def classified(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
     """Per row of ``docs``: key, ``held_out``, ``score`` and ``predicted``.
 
     ``labels(key, quality)``. Fold 1 is held out, fold 0 fits the regression, fold 2 calibrates.
     """
     stats = stored(document_statistics(docs, key=key), "quality-statistics")
-    used = labels.select(F.col(key).alias("key"), F.col("quality").alias("label"))
-    model = fit(stats, used.filter(fold() != 1), fold() == 2)
+    model = _fitted(stats, labels, key)
     held_out = F.coalesce(fold(key) == 1, F.lit(False))
     return scores(stats, model, key).select(key, held_out.alias("held_out"), "score", "predicted")
+
+
+def accepted(
+    docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id"
+) -> DataFrame:
+    """The rows of ``docs`` with a score of one half or more, by the model of ``classified``.
+
+    Rows are scored again where they are read, so that texts are not shuffled.
+    """
+    stats = stored(document_statistics(docs, text, key), "quality-statistics")
+    model = _fitted(stats, labels, key)
+    column = docs.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            values = batch.column(column).to_pylist()
+            rows = [statistics(None if v is None else v.encode()) for v in values]
+            if rows:
+                yield batch.filter(pa.array(model.score(np.array(rows)) >= 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
