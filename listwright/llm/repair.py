@@ -14,6 +14,7 @@ their texts). Null and empty texts hold only the end id.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -161,7 +162,7 @@ def _encoder(vocabulary: str) -> tuple[WordEncoder, int]:
     def encode_words(words: list[bytes]) -> Iterator[bytes]:
         for word in words:
             tokens = model.tokenize(word.decode("latin-1").translate(alphabet))
-            yield np.array([t.id for t in tokens], "<u4").tobytes()
+            yield array("I", [t.id for t in tokens]).tobytes()
 
     return WordEncoder(encode_words, mark), library.get_vocab_size()
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import regex
@@ -15,7 +16,16 @@ END_OF_TEXT = "<|endoftext|>"
 GROUP_CHARS = 8_000_000
 REMEMBERED = 600_000
 
-_find_words = regex.compile(PATTERN).findall
+_find_any = regex.compile(PATTERN).findall
+# The same pattern over ASCII, where letters may be tried first.
+_find_ascii = re.compile(
+    r" ?[A-Za-z]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII
+).findall
+
+
+def find_words(text: str) -> list[str]:
+    """The pre-tokens of a text that does not hold the end-of-text mark."""
+    return _find_ascii(text) if text.isascii() else _find_any(text)
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -52,7 +62,7 @@ class WordEncoder:
     def _group(self, texts: list[str]) -> Iterator[bytes]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        split = [[_find_words(part) for part in text.split(END_OF_TEXT)] for text in texts]
+        split = [[find_words(part) for part in text.split(END_OF_TEXT)] for text in texts]
         met: set[str] = set()
         for parts in split:
             met.update(*parts)

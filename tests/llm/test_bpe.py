@@ -40,3 +40,14 @@ def test_digests(spark):
         hashlib.sha256((r.text or "").encode()).hexdigest() for r in docs.collect()
     ]
     assert bpe.encoding_digests(documents(spark, []), VOCABULARY).count() == 0
+
+
+def test_words_of_ascii():
+    from listwright.llm import words
+
+    random.seed(6)
+    parts = ["a", "Z", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x1f", "\x00", "1", "'s", "'", "'ll",
+             "'re", "'T", "_", "!", "?'d", "\r\n"]
+    for _ in range(20_000):
+        text = "".join(random.choices(parts, k=random.randint(0, 12)))
+        assert words.find_words(text) == words._find_any(text), repr(text)
