@@ -44,7 +44,6 @@ def _large_star(pairs: DataFrame) -> DataFrame:
         both.join(least, "u")
         .filter("v > u")
         .select(F.col("v").alias("u"), F.least("u", "low").alias("v"))
-        .distinct()
     )
 
 
