@@ -66,19 +66,16 @@ def partial_registry(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
-    """Page addresses as paths; the host is the source, the page length the file length."""
-    pages = (
-        table(spark, sf, "pages")
-        .groupBy("url")
-        .agg(F.sum(F.length("html")).alias("length"))
-    )
-    paths = pages.withColumnRenamed("url", "path")
+    """A file per page, below its address and of a kind its number tells; the host is the source,
+    the page length the file length."""
+    pages = table(spark, sf, "pages").select(_page_path().alias("path"), "html")
+    paths = pages.groupBy("path").agg(F.sum(F.length("html")).alias("length"))
     return manifest_of(paths, "path", _host("path"), _depth("path"))
 
 
 def page_lines(spark: SparkSession, sf: str) -> DataFrame:
-    pages = spread(table(spark, sf, "pages").select("url", "html"), "url")
-    return lines_from_text(pages, "html", _host("url"), "url")
+    pages = table(spark, sf, "pages").select("url", _page_path().alias("path"), "html")
+    return lines_from_text(spread(pages, "path"), "html", _host("url"), "path")
 
 
 def hosts(spark: SparkSession, sf: str) -> DataFrame:
@@ -91,4 +88,13 @@ def _host(url: str) -> Column:
 
 
 def _depth(url: str) -> Column:
-    return F.size(F.split(url, "/")) - 5
+    return F.size(F.split(url, "/")) - 6
+
+
+KINDS = ("csv", "txt", "pdf", "html", "zip", "json", "log")
+
+
+def _page_path() -> Column:
+    kind = F.get(F.array(*map(F.lit, KINDS)), (F.col("page_id") % len(KINDS)).cast("int"))
+    number = (F.col("page_id") % 3).cast("string")
+    return F.concat("url", F.lit("/f"), number, F.lit("."), kind)

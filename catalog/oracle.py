@@ -75,16 +75,19 @@ EMAILS = WORDS + ", " + _emails("words")
 
 BASE = "regexp_extract(path, '[^/]*$')"
 SUFFIX = r"regexp_extract({0}, '^.+?(\.[^.]+)$', 1)"
-MANIFEST = f"""paged AS (SELECT url AS path, CAST(sum(length(html)) AS BIGINT) AS length
-    FROM pages GROUP BY url),
+PATH = """url || '/f' || page_id % 3 || '.'
+    || ['csv', 'txt', 'pdf', 'html', 'zip', 'json', 'log'][page_id % 7 + 1]"""
+MANIFEST = f"""paged AS (SELECT {PATH} AS path, CAST(sum(length(html)) AS BIGINT) AS length
+    FROM pages GROUP BY 1),
   based AS (SELECT regexp_extract(path, '://([^/]*)', 1) AS source, path, {BASE} AS name, length,
-    CAST(length(path) - length(replace(path, '/', '')) - 4 AS INTEGER) AS depth FROM paged),
+    CAST(length(path) - length(replace(path, '/', '')) - 5 AS INTEGER) AS depth FROM paged),
   manifest AS (SELECT *, lower({SUFFIX.format("name")}) AS ext,
     name[1:length(name) - length({SUFFIX.format("name")})] AS stem FROM based)"""
-PAGE_LINES = """page_lines AS (SELECT regexp_extract(url, '://([^/]*)', 1) AS source, url AS file,
+PAGE_LINES = f"""page_lines AS (SELECT regexp_extract(url, '://([^/]*)', 1) AS source, {PATH} AS file,
     unnest(string_split(regexp_replace(html, '\\n$', ''), chr(10))) AS value
     FROM pages WHERE html <> '')"""
 
+# Extensions of each category; characters and length of valid names.
 CATEGORY = """CASE
     WHEN ltrim({0}, '.') IN ('txt','csv','tsv','list') THEN 'text'
     WHEN ltrim({0}, '.') IN ('zip','tar','gz','tgz','rar','7z') THEN 'archives'
@@ -117,6 +120,18 @@ for _key in ("scan_csv", "scan_tsv", "scan_json", "scan_parquet"):
     ORACLE[_key] = """SELECT 'events' AS source, props AS original, count(*) AS n
       FROM events GROUP BY ALL"""
 
+ORACLE["scan_source"] = """SELECT 'all' AS source, ext_rank, original, count(*) AS n FROM (
+    SELECT 1 AS ext_rank, props AS original FROM events UNION ALL SELECT 2, n_name FROM nation
+    UNION ALL SELECT 4, c_name FROM customer UNION ALL SELECT 4, p_name FROM part)
+  GROUP BY ALL"""
+ORACLE["scan_plain"] = """SELECT 'all' AS source, 0 AS ext_rank, c_name AS original
+  FROM customer"""
+ORACLE["validate_files"] = f"""WITH {MANIFEST} SELECT path, true AS valid FROM manifest
+  UNION SELECT path || 'x', false FROM manifest
+  UNION SELECT array_to_string(string_split(path, '/')[:4], '/'), true FROM manifest"""
+ORACLE["binary_flags"] = """SELECT '.txt' AS ext, false AS is_binary, false AS by_name,
+    false AS by_content UNION ALL SELECT '.parquet', true, false, true"""
+
 _QUARANTINE = f"""{MANIFEST}, {SENTENCES}, {EMAILS}, quarantine AS (
   SELECT source, path AS file, CAST(NULL AS BIGINT) AS line_no, 'read' AS phase,
     'unsupported format' AS reason, name AS raw FROM manifest
@@ -140,11 +155,12 @@ ORACLE["source_union"] = " UNION ALL ".join(
         ("region", "r_name", "r_regionkey"),
     )
 )
+# Fixed value: what a strict name may be.
 STRICT = "'^[a-z0-9_.-]{1,32}$'"
 ORACLE["merge_lists"] = rf"""WITH spoken AS (SELECT role,
     unnest(string_split_regex(text, '\s+')) AS word FROM conversations
-    WHERE role IN ('user', 'assistant')),
-  named AS (SELECT CASE role WHEN 'user' THEN 0 ELSE 1 END AS list_no,
+    WHERE role IN ('user', 'system', 'assistant')),
+  named AS (SELECT CASE role WHEN 'user' THEN 0 WHEN 'system' THEN 1 ELSE 2 END AS list_no,
     {ascii_(f"lower({trim('word')})")} AS nick FROM spoken)
   SELECT nick, CAST(min(list_no) AS INTEGER) AS list_no FROM named
   WHERE regexp_matches(nick, {STRICT}) GROUP BY nick"""
@@ -244,7 +260,7 @@ ORACLE["new_uniques"] = f"""WITH {DEDUPED}, {REGISTRY}, added AS (SELECT slug, r
     count(nick) AS n_new FROM registry r LEFT JOIN deduped d ON d.priority = r.priority GROUP BY ALL)
   SELECT *, CAST(sum(n_new) OVER (ORDER BY priority) AS BIGINT) AS n_total FROM added"""
 ORACLE["raw_counts"] = f"""WITH {PAGE_LINES} SELECT source, file, count(*) AS n_lines
-  FROM page_lines GROUP BY ALL"""
+  FROM page_lines WHERE NOT ends_with(file, '.pdf') AND NOT ends_with(file, '.zip') GROUP BY ALL"""
 ORACLE["dir_totals"] = f"""WITH {MANIFEST}, {PAGE_LINES}, counted AS (SELECT source,
     count(*) AS n_lines FROM page_lines GROUP BY source)
   SELECT m.source, count(*) AS n_files, CAST(sum(length) AS BIGINT) AS n_bytes,
@@ -255,19 +271,17 @@ ORACLE["run_stats"] = f"""WITH {NAMES}, {_PER_FILE}, totals AS (SELECT count(*)
     count(DISTINCT nick) AS n_deduped FROM per_file)
   SELECT *, round((1 - n_deduped / n_normalized) * 100, 6) AS duplicate_rate FROM totals"""
 ORACLE["stats_total"] = ORACLE["run_stats"]
-ORACLE["stats_report"] = f"""WITH {NAMES}, {PARTIAL},
-  kept AS (SELECT * FROM names WHERE source IN (SELECT slug FROM partial)),
+ORACLE["stats_report"] = f"""WITH {NAMES}, {REGISTRY}, kept AS (SELECT * FROM names),
   first AS (SELECT * FROM kept QUALIFY {FIRST}),
   raw_n AS (SELECT source, count(*) AS n FROM lines GROUP BY source),
   norm_n AS (SELECT source, count(DISTINCT (file, nick)) AS n FROM kept GROUP BY source),
   new_n AS (SELECT priority, count(*) AS n FROM first GROUP BY priority),
   joined AS (SELECT slug AS source, p.priority, coalesce(r.n, 0) AS n_raw,
-    coalesce(m.n, 0) AS n_normalized, coalesce(w.n, 0) AS n_new FROM partial p
+    coalesce(m.n, 0) AS n_normalized, coalesce(w.n, 0) AS n_new FROM registry p
     LEFT JOIN raw_n r ON r.source = slug LEFT JOIN norm_n m ON m.source = slug
     LEFT JOIN new_n w ON w.priority = p.priority)
   SELECT *, CAST(sum(n_new) OVER (ORDER BY priority) AS BIGINT) AS n_total FROM joined"""
-ORACLE["has_valid_data"] = f"""WITH {MANIFEST}, listed AS (SELECT * FROM manifest
-    WHERE length(path) % 3 <> 0)
+ORACLE["has_valid_data"] = f"""WITH {MANIFEST}, listed AS (SELECT * FROM manifest)
   SELECT h.slug, coalesce(bool_or(ext = '.html' AND NOT starts_with(name, '.')), false) AS has_data
   FROM (SELECT DISTINCT regexp_extract(url, '://([^/]*)', 1) AS slug FROM pages) h
   LEFT JOIN listed ON source = slug GROUP BY h.slug"""
@@ -304,6 +318,10 @@ ORACLE["export_kinds"] = f"""WITH {WORDS}, unique_ AS (SELECT DISTINCT {trim("or
   UNION ALL SELECT 'name', value FROM unique_ WHERE NOT contains(value, '@')
   UNION ALL SELECT 'token', value FROM unique_ WHERE NOT contains(value, '@')
     AND NOT contains(value, ' ') AND length(value) > 6"""
+ORACLE["write_lines"] = f"WITH {NUMBERED} SELECT nick, ord FROM numbered"
+ORACLE["write_forced"] = f"""WITH {WORDS} SELECT false AS force, original, count(*) AS n FROM words
+    WHERE contains(original, 'a') GROUP BY ALL
+  UNION ALL SELECT true, original, count(*) FROM words WHERE contains(original, 'e') GROUP BY ALL"""
 ORACLE["split_fixed"] = f"""WITH {LINES}, placed AS (SELECT original AS value,
     row_number() OVER (ORDER BY file, line_no) - 1 AS ord FROM lines)
   SELECT format('chunk_{{:03d}}.txt', ord // 1000 + 1) AS chunk_file, value, count(*) AS n
@@ -322,12 +340,12 @@ ORACLE["split_sample"] = f"""WITH {NUMBERED}
 # names use up are passed over: the j-th file takes the j-th free number.
 _TARGETS = """ranked AS (SELECT *, row_number() OVER (PARTITION BY category, label ORDER BY path) - 1
     AS rank FROM labelled),
-  used AS (SELECT DISTINCT r.category, r.label, CAST(regexp_extract(o.label_stem, '_([1-9][0-9]{0,8})$', 1)
+  used AS (SELECT DISTINCT r.category, r.label, CAST(regexp_extract(o.label_stem, '_([1-9][0-9]{0,16})$', 1)
       AS BIGINT) AS number
     FROM (SELECT DISTINCT category, label, label_stem, label_ext FROM ranked WHERE rank > 0) r
     JOIN labelled o ON o.category = r.category AND o.label_ext = r.label_ext
-      AND regexp_matches(o.label_stem, '_[1-9][0-9]{0,8}$')
-      AND regexp_replace(o.label_stem, '_[1-9][0-9]{0,8}$', '') = r.label_stem),
+      AND regexp_matches(o.label_stem, '_[1-9][0-9]{0,16}$')
+      AND regexp_replace(o.label_stem, '_[1-9][0-9]{0,16}$', '') = r.label_stem),
   gaps AS (SELECT category, label, number - row_number() OVER (PARTITION BY category, label
     ORDER BY number) AS free_below FROM used),
   targeted AS (SELECT r.*, rank + (SELECT count(*) FROM gaps g WHERE g.category = r.category
@@ -343,7 +361,7 @@ def _labelled(label: str, where: str) -> str:
     label[1:length(label) - length({suffix})] AS label_stem FROM named)"""
 
 
-ORACLE["conflict_suffix"] = f"""WITH {MANIFEST}, {_labelled("name", "name <> ''")}, {_TARGETS}
+ORACLE["conflict_suffix"] = f"""WITH {MANIFEST}, {_labelled("name", "true")}, {_TARGETS}
   SELECT path, category, name, target FROM final"""
 
 # --- streams and whole jobs ---
@@ -351,11 +369,10 @@ ORACLE["conflict_suffix"] = f"""WITH {MANIFEST}, {_labelled("name", "name <> ''"
 ORACLE["stream_dedupe"] = f"WITH {LINES} SELECT DISTINCT original AS value FROM lines"
 ORACLE["stream_normalize"] = ORACLE["normalize_names"]
 ORACLE["stream_append_new"] = ORACLE["stream_dedupe"]
-ORACLE["consolidate"] = f"""WITH {NAMES}, {PARTIAL}
-  SELECT nick, priority, file, line_no, original FROM names
-  WHERE source IN (SELECT slug FROM partial) QUALIFY {FIRST}"""
-ORACLE["consolidate_strict"] = f"""WITH {_STRICT_WORDS}, {PARTIAL},
-  ranked AS (SELECT kept.*, priority FROM kept JOIN partial ON source = slug)
+ORACLE["consolidate"] = f"""WITH {NAMES}
+  SELECT nick, priority, file, line_no, original FROM names QUALIFY {FIRST}"""
+ORACLE["consolidate_strict"] = f"""WITH {_STRICT_WORDS}, {REGISTRY},
+  ranked AS (SELECT kept.*, priority FROM kept JOIN registry ON source = slug)
   SELECT nick, priority, file, line_no FROM ranked QUALIFY {FIRST}"""
 ORACLE["consolidate_by_kind"] = f"""WITH {WORDS}, unique_ AS (SELECT original AS value, file, line_no
     FROM words QUALIFY row_number() OVER (PARTITION BY original ORDER BY file, line_no) = 1),
@@ -372,7 +389,10 @@ ORACLE["email_report"] = f"""WITH {NAMES}, {EMAILS}, {_PARTS}
   SELECT part, value FROM parts_of
   UNION ALL SELECT 'name', nick FROM (SELECT DISTINCT nick FROM names)
   UNION ALL SELECT 'combined', nick FROM (SELECT nick FROM names UNION SELECT local_part FROM emails)"""
-_BINARY = "'.zip','.rar','.gz','.tar','.7z','.exe','.bin','.dat','.pdf','.png','.jpg','.jpeg','.gif','.mp3','.mp4'"
+# Extensions of binary files.
+_BINARY = """'.zip', '.rar', '.gz', '.tar', '.7z', '.exe', '.bin', '.dat', '.pdf', '.png',
+    '.jpg', '.jpeg', '.gif', '.mp3', '.mp4', '.avi', '.mov', '.mkv', '.iso', '.dll',
+    '.so', '.dylib', '.jar', '.class', '.pyc', '.pyd', '.obj', '.o', '.lib', '.a'"""
 ORACLE["manifest_plan"] = f"""WITH {MANIFEST},
   {_labelled(f"CASE WHEN {NAME_VALID.format('name')} THEN name ELSE {repair('name')} END", "true")},
   {_TARGETS}

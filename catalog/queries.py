@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from catalog import bindings as b
 from listwright import functions as fn
-from listwright import streaming
+from listwright import sinks, streaming
 from listwright.operators import dedupe, emails, file_names, joins, ordering, stats
 from listwright.plans import consolidate as jobs
 from listwright.plans import manifest_plan as file_plan
@@ -86,6 +86,50 @@ def scan_parquet(spark, sf):
     return _counted(files.scan_parquet(spark, f"{sf}/events.parquet", "events", "props"))
 
 
+@query
+def scan_source(spark, sf):
+    """One source with CSV, text and Parquet files, the Parquet files with different columns."""
+    root = fresh_path(spark, "mixed")
+    events = _event_table(spark, sf).write.option("header", True).option("escape", '"')
+    events.csv(f"{root}/all/csv")
+    b.table(spark, sf, "nation").select("n_name").write.text(f"{root}/all/text")
+    customers = b.table(spark, sf, "customer").withColumnRenamed("c_name", "username")
+    customers.write.parquet(f"{root}/all/tables/customers")
+    parts = b.table(spark, sf, "part").withColumnRenamed("p_name", "name")
+    parts.write.parquet(f"{root}/all/tables/parts")
+    scanned = files.scan_source(spark, root, "all")
+    return scanned.groupBy("source", "ext_rank", "original").agg(F.count("*").alias("n"))
+
+
+@query
+def scan_plain(spark, sf):
+    """A source without data files: the files of its top folder that have no extension."""
+    root = fresh_path(spark, "plain")
+    names = b.table(spark, sf, "customer").select("c_name").rdd.map(lambda row: row[0])
+    names.saveAsTextFile(f"{root}/all")
+    return files.scan_source(spark, root, "all").select("source", "ext_rank", "original")
+
+
+@query
+def validate_files(spark, sf):
+    """Every page's file, its folder, and a file that is not there."""
+    listed = b.manifest(spark, sf)
+    folder = F.substring_index("path", "/", 4)
+    expected = listed.select("path").union(listed.select(F.concat("path", F.lit("x"))))
+    return manifest.validate_files(expected.union(listed.select(folder)), listed)
+
+
+@query
+def binary_flags(spark, sf):
+    """Which tests call written text files and tables binary, by extension."""
+    root = fresh_path(spark, "binary")
+    b.table(spark, sf, "documents").select("text").write.text(f"{root}/texts")
+    b.table(spark, sf, "documents").write.parquet(f"{root}/tables")
+    flags = manifest.binary_flags(spark, root, below=None, probe=None)
+    ext = F.regexp_extract("path", r"(\.[a-z]+)$", 1).alias("ext")
+    return flags.select(ext, "is_binary", "by_name", "by_content").distinct()
+
+
 def _counted(scanned):
     return scanned.groupBy("source", "original").agg(F.count("*").alias("n"))
 
@@ -130,9 +174,9 @@ def merge_lists(spark, sf):
     spoken = b.table(spark, sf, "conversations").select(
         "role", F.explode(F.split("text", r"\s+")).alias("word")
     )
-    for role in ("assistant", "user"):
+    for role in ("assistant", "system", "user"):
         spoken.where(F.col("role") == role).select("word").write.text(f"{root}/{role}")
-    merged = sources.merge_lists(spark, [f"{root}/user", f"{root}/assistant"], "spoken")
+    merged = sources.merge_lists(spark, [f"{root}/{role}" for role in ("user", "system", "assistant")], "spoken")
     names = dedupe.normalize_names(merged, mode="strict")
     order = ("list_no", *sources.FILE_PLACE)
     return dedupe.dedupe_priority(names, order=order).select("nick", "list_no")
@@ -374,7 +418,7 @@ def dir_totals(spark, sf):
 @query
 def run_stats(spark, sf):
     names = _names(spark, sf)
-    totals = stats.run_stats(dedupe.dedupe_per_file(names), dedupe.dedupe_unordered(names))
+    totals = stats.value_stats(dedupe.dedupe_per_file(names))
     return totals.withColumn("duplicate_rate", F.round("duplicate_rate", 6))
 
 
@@ -386,13 +430,12 @@ def stats_total(spark, sf):
 
 @query
 def stats_report(spark, sf):
-    return jobs.stats_report(b.lines(spark, sf), b.partial_registry(spark, sf))
+    return jobs.stats_report(b.lines(spark, sf), b.registry(spark, sf))
 
 
 @query
 def has_valid_data(spark, sf):
-    listed = b.manifest(spark, sf).where(F.length("path") % 3 != 0)
-    return manifest.has_valid_data(listed, b.hosts(spark, sf), (".html",))
+    return manifest.has_valid_data(b.manifest(spark, sf), b.hosts(spark, sf), (".html",))
 
 
 @query
@@ -460,6 +503,30 @@ def export_kinds(spark, sf):
     return spark.read.text(path).select("kind", "value")
 
 
+@query
+def write_lines(spark, sf):
+    """The list written in order and read back: the place of each name, by file and line."""
+    path = fresh_path(spark, "lines")
+    sinks.write_lines(dedupe.dedupe_priority(_names(spark, sf)), path, order=dedupe.LINE_ORDER)
+    read = sources.scan_raw_lines(spark, path, "list")
+    numbered = ordering.global_ordinal(read, ("file", "block", "line_no"))
+    return numbered.select(F.col("value").alias("nick"), "ord")
+
+
+@query
+def write_forced(spark, sf):
+    """Tables written again: one that is kept as it is, one that is replaced."""
+    words, whole = b.words(spark, sf).select("original"), None
+    for force in (False, True):
+        path = fresh_path(spark, "twice")
+        write_table(words.where("original LIKE '%a%'"), path)
+        write_table(words.where("original LIKE '%e%'"), path, force=force)
+        rows = spark.read.parquet(path).groupBy("original").agg(F.count("*").alias("n"))
+        part = rows.select(F.lit(force).alias("force"), "original", "n")
+        whole = part if whole is None else whole.unionByName(part)
+    return whole
+
+
 @query
 def split_fixed(spark, sf):
     """Raw lines in list order in files of an exact number of lines, written and read back."""
@@ -497,8 +564,7 @@ def split_sample(spark, sf):
 @query
 def conflict_suffix(spark, sf):
     listed = b.manifest(spark, sf).withColumn("category", fn.file_category("ext"))
-    named = listed.where("name <> ''")
-    return file_names.conflict_suffix(named).select("path", "category", "name", "target")
+    return file_names.conflict_suffix(listed).select("path", "category", "name", "target")
 
 
 # --- streams ---
@@ -529,10 +595,10 @@ def stream_append_new(spark, sf):
     path, table = fresh_path(spark, "arriving"), fresh_path(spark, "known")
     raw = b.raw_lines(spark, sf)
     known = raw.where(F.col("file") % 2 == 0).select("value").distinct()
-    write_table(known, table)
+    streaming.write_known(known, table)
     raw.where(F.col("file") % 2 == 1).select("value").write.text(path)
     streaming.append_new(streaming.stream_lines(spark, path, files_per_batch=16), table)
-    return spark.read.parquet(table)
+    return spark.read.parquet(table).select("value")
 
 
 # --- whole jobs ---
@@ -540,13 +606,13 @@ def stream_append_new(spark, sf):
 
 @query
 def consolidate(spark, sf):
-    lines, registry = b.lines(spark, sf), b.partial_registry(spark, sf)
+    lines, registry = b.lines(spark, sf), b.registry(spark, sf)
     return jobs.consolidate(lines, registry, keep_original=True)
 
 
 @query
 def consolidate_strict(spark, sf):
-    return jobs.consolidate(b.words(spark, sf), b.partial_registry(spark, sf), mode="strict")
+    return jobs.consolidate(b.words(spark, sf), b.registry(spark, sf), mode="strict")
 
 
 @query

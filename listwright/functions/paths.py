@@ -32,6 +32,7 @@ BINARY_EXTENSIONS = (
     ".jpg", ".jpeg", ".gif", ".mp3", ".mp4", ".avi", ".mov", ".mkv", ".iso", ".dll",
     ".so", ".dylib", ".jar", ".class", ".pyc", ".pyd", ".obj", ".o", ".lib", ".a",
 )
+# Parts of media types that are text although their main type is not.
 _TEXT_MIME_PARTS = ("xml", "javascript", "application/x-executable")
 
 # Extensions of data files in reading order, and the default set of valid ones.

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from listwright.functions import stem
 from listwright.operators.ordering import group_ordinal
 from listwright.sources.lines import add_computed
+from listwright.storage import null_safe_join
 
 
 def conflict_suffix(
@@ -16,7 +17,8 @@ def conflict_suffix(
     """Add ``target``: the name, with ``_1``, ``_2``, ... from the second file of a name on.
 
     The first file in path order keeps its name. Numbers that make a name some other file
-    really has are passed over, so targets are unique.
+    really has are passed over, so targets are unique. Paths must be unique; a null in
+    ``within`` is a group like any other.
     """
     group = (*within, name)
     ranked = group_ordinal(files, group, ("path",), "_rank")
@@ -38,7 +40,7 @@ def _taken_numbers(
     files: DataFrame, repeated: DataFrame, within: tuple[str, ...], name: str
 ) -> DataFrame:
     """Numbers that would turn a repeated name into one that exists."""
-    ended = r"_([1-9]\d{0,8})$"
+    ended = r"_([1-9]\d{0,16})$"
     labelled = add_computed(files.select(*within, name), "_stem", name, stem)
     numbered = labelled.where(F.rlike("_stem", F.lit(ended)))
     ext = F.substring(F.col(name), F.length("_stem") + 1, F.length(name))
@@ -48,7 +50,7 @@ def _taken_numbers(
         F.regexp_extract("_stem", ended, 1).cast("long").alias("number"),
     )
     wanted = repeated.select(*within, name).distinct()
-    return candidates.distinct().join(wanted, [*within, name], "left_semi")
+    return null_safe_join(candidates.distinct(), wanted, (*within, name), "left_semi")
 
 
 def _free_numbers(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from listwright.operators.dedupe import LINE_ORDER
-from listwright.storage import lookup_join
+from listwright.storage import registry_side
 
 
 def with_priority(
@@ -14,13 +14,13 @@ def with_priority(
 ) -> DataFrame:
     """Rows of registered sources, with ``columns`` of the registry."""
     lookup = registry.select(F.col("slug").alias("source"), *columns)
-    return lookup_join(df, lookup, "source")
+    return df.join(registry_side(lookup), "source")
 
 
 def registered_only(df: DataFrame, registry: DataFrame) -> DataFrame:
     """Rows of registered sources."""
     slugs = registry.select(F.col("slug").alias("source")).distinct()
-    return lookup_join(df, slugs, "source", "left_semi")
+    return df.join(registry_side(slugs), "source", "left_semi")
 
 
 def stale_sources(produced: DataFrame, registry: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listwright.functions import chunk_name, strip_commas, trim_all
-from listwright.storage import fresh_path
+from listwright.storage import fresh_path, null_safe_join
 
 CHUNK_ROWS = 1_000_000
 RAW_CHUNK_ROWS = 5_000_000
@@ -77,7 +77,8 @@ def group_ordinal(
     """Add the place of each row within its group, from 0 on.
 
     A group may be larger than a task: rows get their global ordinal, and the first
-    ordinal of a group is joined back per group and slice of 100,000 ordinals.
+    ordinal of a group is joined back per group and slice of 100,000 ordinals. Nulls in
+    the group columns are a value like any other.
     """
     numbered = global_ordinal(df, (*group, *order)).withColumn(
         "_slice", F.floor(F.col("ord") / SLICE_ROWS)
@@ -87,9 +88,8 @@ def group_ordinal(
     )
     slices = F.explode(F.sequence(F.floor(F.col("_first") / SLICE_ROWS), F.col("_last_slice")))
     per_slice = starts.select(*group, "_first", slices.alias("_slice"))
-    return numbered.join(per_slice, [*group, "_slice"]).select(
-        *df.columns, (F.col("ord") - F.col("_first")).alias(name)
-    )
+    placed = null_safe_join(numbered, per_slice, (*group, "_slice"))
+    return placed.select(*df.columns, (F.col("ord") - F.col("_first")).alias(name))
 
 
 def assign_chunks(numbered: DataFrame, rows: int = CHUNK_ROWS) -> DataFrame:

@@ -30,10 +30,23 @@ def write_blocks(
     write_lines(join_blocks(numbered, value, rows), path, "line", ("block",), force)
 
 
-def write_kinds(lines: DataFrame, path: str, value: str = "value", force: bool = False) -> None:
-    """One folder per kind of line. A line of several kinds is in each of their folders."""
-    tagged = lines.select(value, F.explode(kinds(value)).alias("kind"))
-    tagged.write.mode(save_mode(force)).partitionBy("kind").text(path)
+def write_kinds(
+    lines: DataFrame,
+    path: str,
+    value: str = "value",
+    order: tuple[str, ...] = (),
+    force: bool = False,
+) -> None:
+    """One folder per kind of line. A line of several kinds is in each of their folders.
+
+    ``order`` gives the list order within a kind. Lines are dealt by kind and value or order, so a
+    task writes few files and a common kind has several.
+    """
+    tagged = lines.select(value, *(c for c in order if c != value), F.explode(kinds(value)).alias("kind"))
+    ranged = tagged.repartitionByRange("kind", *(order or (value,)))
+    if order:
+        ranged = ranged.sortWithinPartitions("kind", *order)
+    ranged.select("kind", value).write.mode(save_mode(force)).partitionBy("kind").text(path)
 
 
 def write_chunks(chunked: DataFrame, path: str, value: str, force: bool = False) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from listwright.functions import pick_name_column
+from listwright.functions.filters import NAME_COLUMNS
 from listwright.functions._columns import ColumnOrName, as_column
 from listwright.sources.lines import FILE_PLACE, scan_lines, scan_raw_lines, to_text
 from listwright.sources.manifest import (
@@ -15,7 +16,6 @@ from listwright.sources.manifest import (
     is_readable_extension,
     scan_manifest,
 )
-from listwright.storage import lookup_join
 
 SOURCE_PLACE = ("ext_rank", *FILE_PLACE)
 QUARANTINE_COLUMNS = ("source", "file", "line_no", "phase", "reason", "raw")
@@ -32,6 +32,7 @@ def scan_delimited(
     column: str | None = None,
     strict: bool = False,
     same_header: bool = False,
+    multi_line: bool = False,
     **globs: str | bool,
 ) -> DataFrame:
     """Name column of CSV or TSV files: ``(source, file, block, line_no, original)``.
@@ -39,9 +40,11 @@ def scan_delimited(
     All cells are read as text. Missing cells are null. A row with too many cells is left
     out; with ``strict`` the whole file that holds it is. See ``quarantine_delimited``.
     Files may have different headers: unless ``same_header``, a first pass looks for them.
+    ``multi_line`` is for quoted cells that hold line breaks; each file is then read by one task.
     """
+    options = {"multiLine": multi_line, "header": header}
     scans = []
-    for table in _delimited_tables(spark, paths, sep, header and not same_header, header, globs):
+    for table in _delimited_tables(spark, paths, sep, header and not same_header, options, globs):
         chosen = column or pick_name_column(table.drop(SURPLUS, RAW))
         bad = F.col(SURPLUS).isNotNull().alias("_bad")
         scans.append(_placed(table, _quoted(chosen), source, bad))
@@ -50,7 +53,7 @@ def scan_delimited(
     if not strict:
         return good
     bad_files = rows.where("_bad").select("file").distinct()
-    return lookup_join(good, bad_files, "file", "left_anti").select(good.columns)
+    return good.join(bad_files, "file", "left_anti").select(good.columns)
 
 
 def quarantine_delimited(
@@ -60,11 +63,13 @@ def quarantine_delimited(
     sep: str = ",",
     header: bool = True,
     same_header: bool = False,
+    multi_line: bool = False,
     **globs: str | bool,
 ) -> DataFrame:
     """The rows with too many cells, as quarantine rows."""
+    options = {"multiLine": multi_line, "header": header}
     scans = []
-    for table in _delimited_tables(spark, paths, sep, header and not same_header, header, globs):
+    for table in _delimited_tables(spark, paths, sep, header and not same_header, options, globs):
         cells = [_quoted(c) for c in table.columns if c != RAW]
         raw = F.coalesce(F.col(RAW), F.concat_ws(sep, *cells))
         scans.append(_placed(table.where(F.col(SURPLUS).isNotNull()), raw, source))
@@ -77,11 +82,11 @@ def _delimited_tables(
     paths: str | list[str],
     sep: str,
     look_for_headers: bool,
-    header: bool,
+    read_options: dict[str, bool],
     globs: dict,
 ) -> list[DataFrame]:
     """One table per distinct header. A surplus column catches the first cell too many."""
-    options = {"sep": sep, "escape": '"', "header": header, **_glob_options(globs)}
+    options = {"sep": sep, "escape": '"', **read_options, **_glob_options(globs)}
     if look_for_headers:
         groups = _header_groups(spark, paths, globs)
     else:
@@ -119,11 +124,17 @@ def scan_json(
     source: str,
     column: str | None = None,
     multi_line: bool = True,
+    same_schema: bool = True,
     **globs: str | bool,
 ) -> DataFrame:
-    """Name column of JSON files, one document per file by default, else one per line."""
+    """Name column of JSON files, one document per file by default, else one per line.
+
+    Unless ``same_schema``, each file has a name column of its own: see ``_by_file``.
+    """
     options = {"multiLine": multi_line, "primitivesAsString": True, **_glob_options(globs)}
     table = spark.read.options(**options).json(paths)
+    if column is None and not same_schema and len(table.columns) > 1:
+        return _by_file(table, source, F.monotonically_increasing_id())
     chosen = column or pick_name_column(table)
     if column is None and len(table.columns) > 1 and chosen == table.columns[0]:
         chosen = _first_json_key(spark, paths, globs) or chosen
@@ -133,12 +144,12 @@ def scan_json(
 def _first_json_key(
     spark: SparkSession, paths: str | list[str], globs: dict[str, str | bool]
 ) -> str | None:
-    """First key of the first document: the schema Spark infers is in alphabetical order."""
-    text = spark.read.options(**_glob_options(globs)).text(paths, wholetext=True)
-    key = F.regexp_extract("value", r'^[\s\[]*\{\s*"([^"\\]*)"\s*:', 1)
-    first = text.select("_metadata.file_path", key.alias("key")).where("key <> ''")
-    row = first.agg(F.min_by("key", "file_path").alias("key")).first()
-    return row["key"]
+    """First key of one file: the schema Spark infers is in alphabetical order. Files are opened
+    until one has a line with a key; no other text is read."""
+    text = spark.read.options(**_glob_options(globs)).text(paths)
+    key = F.regexp_extract("value", r'^[\s\[]*\{?\s*"([^"\\]*)"\s*:', 1)
+    row = text.select(key.alias("key")).where("key <> ''").first()
+    return row["key"] if row else None
 
 
 def scan_parquet(
@@ -146,11 +157,18 @@ def scan_parquet(
     paths: str | list[str],
     source: str,
     column: str | None = None,
+    same_schema: bool = True,
     **globs: str | bool,
 ) -> DataFrame:
-    """Name column of Parquet files; only that column is read."""
+    """Name column of Parquet files; only that column is read.
+
+    Unless ``same_schema``, each file has a name column of its own: see ``_by_file``.
+    """
     names = [paths] if isinstance(paths, str) else paths
-    table = spark.read.options(**_glob_options(globs)).parquet(*names)
+    options = {"mergeSchema": not same_schema, **_glob_options(globs)}
+    table = spark.read.options(**options).parquet(*names)
+    if column is None and not same_schema and len(table.columns) > 1:
+        return _by_file(table, source, F.col("_metadata.row_index"))
     chosen = column or pick_name_column(table)
     return table.select(
         F.lit(source).alias("source"),
@@ -161,6 +179,29 @@ def scan_parquet(
     )
 
 
+def _by_file(table: DataFrame, source: str, row_no: Column) -> DataFrame:
+    """Lines of files with different columns: of each file the first column with any value, the
+    usual name columns first, then the others in the order of the joint schema.
+
+    A column that a file lacks reads as null in it, just as one without values.
+    """
+    names = [c for c in NAME_COLUMNS if c in table.columns]
+    names += [c for c in table.columns if c not in names]
+    rows = table.select(
+        F.lit(source).alias("source"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        row_no.alias("line_no"),
+        *(to_text(table, _quoted(c)).alias(f"_{i}") for i, c in enumerate(names)),
+    )
+    used = [F.when(F.bool_or(F.col(f"_{i}").isNotNull()), i) for i in range(len(names))]
+    picked = rows.groupBy("file").agg(F.coalesce(*used).alias("_pick"))
+    values = [F.when(F.col("_pick") == i, F.col(f"_{i}")) for i in range(len(names))]
+    return rows.join(picked, "file").select(
+        "source", *FILE_PLACE, F.coalesce(*values).alias("original")
+    )
+
+
 def scan_email_tables(spark: SparkSession, folder: str) -> DataFrame:
     """``(email, local_part, domain)`` of the Parquet files of a folder.
 
@@ -175,25 +216,28 @@ def scan_email_tables(spark: SparkSession, folder: str) -> DataFrame:
     return table.select(*text).where("email is not null and local_part is not null")
 
 
-def scan_source(spark: SparkSession, root: str, slug: str) -> DataFrame:
+def scan_source(
+    spark: SparkSession, root: str, slug: str, multi_line: bool = True
+) -> DataFrame:
     """All data files of one source: ``(source, ext_rank, file, block, line_no, original)``.
 
     ``root`` holds one folder per source. Files are taken in the order CSV, text, JSON,
     Parquet, TSV, then by path. A source without such files has the plain-text and Markdown
-    files of its top folder read as lines.
+    files of its top folder read as lines. The case of an extension does not matter, and files
+    of one format may have different columns. ``multi_line`` is that of the CSV scan.
     """
     folder = f"{root.rstrip('/')}/{slug}"
-    found = find_data_files(scan_manifest(spark, root).where(F.col("source") == slug))
+    found = find_data_files(scan_manifest(spark, root, slug))
     present = {row["ext"]: row["listed"] for row in _formats(found).collect()}
     readers = {
-        ".csv": lambda **g: scan_delimited(spark, folder, slug, **g),
+        ".csv": lambda **g: scan_delimited(spark, folder, slug, multi_line=multi_line, **g),
         ".txt": lambda **g: scan_lines(spark, folder, slug, **g),
-        ".json": lambda **g: scan_json(spark, folder, slug, **g),
-        ".parquet": lambda **g: scan_parquet(spark, folder, slug, **g),
+        ".json": lambda **g: scan_json(spark, folder, slug, same_schema=False, **g),
+        ".parquet": lambda **g: scan_parquet(spark, folder, slug, same_schema=False, **g),
         ".tsv": lambda **g: scan_delimited(spark, folder, slug, sep="\t", strict=True, **g),
     }
     scans = [
-        readers[ext](pattern=f"*{ext}", recursive=True).withColumn("ext_rank", extension_rank(F.lit(ext)))
+        readers[ext](pattern=_any_case(ext), recursive=True).withColumn("ext_rank", extension_rank(F.lit(ext)))
         for ext in readers
         if present.get(ext)
     ]
@@ -207,6 +251,10 @@ def scan_source(spark: SparkSession, root: str, slug: str) -> DataFrame:
     return _union(scans).select("source", *SOURCE_PLACE, "original")
 
 
+def _any_case(ext: str) -> str:
+    return "*" + "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in ext)
+
+
 def _formats(found: DataFrame) -> DataFrame:
     return found.groupBy("ext").agg(F.bool_or(F.col("ext_rank").isNotNull()).alias("listed"))
 

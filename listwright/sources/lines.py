@@ -16,6 +16,9 @@ from listwright.functions import base_name, trim_all
 from listwright.functions._columns import ColumnOrName, as_column
 
 FILE_PLACE = ("file", "block", "line_no")
+
+# Fixed value: a Markdown link to a web page, with its title.
+LINK = r"\[(.*?)\]\((https?://[^\)]+)\)"
 Step = Callable[[ColumnOrName], Column]
 
 
@@ -108,11 +111,9 @@ def to_text(df: DataFrame, value: ColumnOrName) -> Column:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition a scan that has fewer tasks than there are cores, on a key that is
-    unique or nearly so. A large input has enough tasks and is not shuffled. There are
-    several tasks per core, as rows differ in length."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(4 * cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    """Repartition a scan of few, large row groups on a key that is unique or nearly so, into
+    the session's number of shuffle partitions. For inputs with tasks enough, leave it out."""
+    return df.repartition(*keys)
 
 
 def merge_lists(
@@ -134,7 +135,7 @@ def merge_lists(
 
 def link_titles(line: ColumnOrName) -> Column:
     """Title of the first Markdown link to a web page in a line, else null."""
-    title = F.regexp_extract(as_column(line), r"\[(.*?)\]\((https?://[^\)]+)\)", 0)
+    title = F.regexp_extract(as_column(line), LINK, 0)
     return F.when(title != "", F.regexp_extract(title, r"^\[(.*?)\]\(https?://", 1))
 
 

@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from listwright.functions import is_binary_content, is_binary_extension, is_data_file, path_parts
 from listwright.functions._columns import ColumnOrName, as_column
 from listwright.functions.paths import DATA_EXTENSIONS, LINE_EXTENSIONS, VALID_EXTENSIONS
-from listwright.storage import lookup_join
 
-# Fixed value: files of this size and above are judged by their name alone.
+# Files of this size and above are judged by their name alone, and the bytes of
+# the others that are looked at.
 PROBED_BYTES = 5 * 1024 * 1024
+PROBE = 1024
 
 
-def scan_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """Every file below ``root``:
+def scan_manifest(spark: SparkSession, root: str, source: str | None = None) -> DataFrame:
+    """Every file below ``root``, or only those of one source:
     ``(source, path, name, stem, ext, depth, length, modificationTime)``.
 
     The source is the first folder below the root, the depth counts folders below it.
@@ -25,7 +26,7 @@ def scan_manifest(spark: SparkSession, root: str) -> DataFrame:
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .load(root)
+        .load(f"{root.rstrip('/')}/{source}" if source else root)
         .select("path", "length", "modificationTime")
     )
     inner = _below(F.col("path"), root)
@@ -69,7 +70,7 @@ def find_data_files(manifest: DataFrame) -> DataFrame:
     ranked = manifest.withColumn("ext_rank", extension_rank("ext"))
     found = ranked.groupBy("source").agg(F.bool_or(F.col("ext_rank").isNotNull()).alias("_any"))
     usable = F.col("ext_rank").isNotNull() | (~F.col("_any") & (F.col("depth") == 0))
-    return lookup_join(ranked, found, "source").where(usable).drop("_any")
+    return ranked.join(found, "source").where(usable).drop("_any")
 
 
 def manifest_valid(
@@ -95,20 +96,29 @@ def has_valid_data(
     )
 
 
-def binary_flags(spark: SparkSession, root: str) -> DataFrame:
-    """``(path, is_binary)`` of every file below ``root``.
+def binary_flags(
+    spark: SparkSession,
+    root: str,
+    below: int | None = PROBED_BYTES,
+    probe: int | None = PROBE,
+) -> DataFrame:
+    """``(path, is_binary, by_name, by_content)`` of every file below ``root``.
 
-    Only files below 5 MB are opened: the size limit reaches the scan.
+    Files of ``below`` bytes and more are not opened; their ``by_content`` is null, so that the
+    caller sees which test decided. ``below=None`` opens all files, ``probe=None`` looks at
+    whole files. The size limit reaches the scan.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     by_name = is_binary_extension(path_parts("path")["ext"])
-    small = files.where(F.col("length") < PROBED_BYTES).select(
-        "path", (by_name | is_binary_content("content")).alias("is_binary")
-    )
-    large = files.where(F.col("length") >= PROBED_BYTES).select(
-        "path", by_name.alias("is_binary")
-    )
-    return small.unionByName(large)
+    by_content = is_binary_content("content", probe or (1 << 31) - 8)
+    opened = files if below is None else files.where(F.col("length") < below)
+    flags = opened.select("path", by_name.alias("by_name"), by_content.alias("by_content"))
+    if below is not None:
+        large = files.where(F.col("length") >= below)
+        unopened = F.lit(None).cast("boolean").alias("by_content")
+        flags = flags.unionByName(large.select("path", by_name.alias("by_name"), unopened))
+    decided = F.col("by_name") | F.coalesce("by_content", F.lit(False))
+    return flags.select("path", decided.alias("is_binary"), "by_name", "by_content")
 
 
 def validate_files(expected: DataFrame, manifest: DataFrame) -> DataFrame:

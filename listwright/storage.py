@@ -1,35 +1,22 @@
-"""The shared folder for intermediate tables, and joins with lookup tables."""
+"""The shared folder for intermediate tables, and joins that need a rule of their own."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A lookup table of at most this many rows is broadcast; a larger one is shuffled.
-LOOKUP_ROWS = 20_000
-SALTS = 64
-
-
-_local_dirs: dict[str, str] = {}
+# A registry has at most this many sources; a larger one is an error, not another plan.
+REGISTRY_ROWS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
-
-    A local session without that setting gets a temporary folder; a cluster must name one.
-    """
+    """The folder every executor can reach, as the session names it in ``spark.checkpoint.dir``."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        app = context.applicationId
-        if app not in _local_dirs:
-            _local_dirs[app] = tempfile.mkdtemp(prefix="listwright-")
-        folder = _local_dirs[app]
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return folder.rstrip("/")
 
 
@@ -38,46 +25,30 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def lookup_join(
-    big: DataFrame,
-    lookup: DataFrame,
-    on: str | list[str],
-    how: str = "inner",
-    max_rows: int = LOOKUP_ROWS,
-) -> DataFrame:
-    """Join a large table with a lookup table; ``how`` keeps the rows of the large side.
-
-    Up to ``max_rows`` lookup rows are fetched once and broadcast, so the large table is
-    not shuffled. A larger lookup table is joined by shuffle; each of its rows is then
-    repeated once per salt, which spreads a key that holds most of the large table.
-    """
-    spark = big.sparkSession
-    head = lookup.limit(max_rows + 1).toArrow()
-    if head.num_rows <= max_rows:
-        small = spark.createDataFrame(head, schema=lookup.schema)
-        return big.join(F.broadcast(small), on, how)
-    keys = [on] if isinstance(on, str) else on
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int"))
-    return salted.join(lookup.withColumn("_salt", salts), [*keys, "_salt"], how).drop("_salt")
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a table that several results are taken from, and go on from the written files."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def reduce_to(
-    big: DataFrame, values: DataFrame, key: str, max_rows: int = LOOKUP_ROWS
-) -> DataFrame:
-    """The keys of a large table that occur among ``values``, when those are few; else all.
+def registry_side(registry: DataFrame, most: int = REGISTRY_ROWS) -> DataFrame:
+    """A registry, one row per source, as the broadcast side of a join.
 
-    Few values are fetched and broadcast, so the large table is neither shuffled nor sorted.
+    Its rows are counted in the same job; more than ``most`` end the job with an error.
     """
-    head = values.select(key).limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return big.select(key)
-    small = big.sparkSession.createDataFrame(head, schema=values.select(key).schema)
-    return big.select(key).join(F.broadcast(small), key, "left_semi")
+    rows = registry.agg(F.count("*")).scalar()
+    too_many = F.raise_error(F.lit(f"a registry has more than {most} rows"))
+    return F.broadcast(registry.where(F.when(rows <= most, True).otherwise(too_many)))
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a table that several results are taken from, and go on from the written files."""
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def null_safe_join(
+    left: DataFrame, right: DataFrame, keys: tuple[str, ...], how: str = "inner"
+) -> DataFrame:
+    """A join on columns of equal names where null equals null; the keys of the left stay."""
+    named = {key: f"_right_{i}" for i, key in enumerate(keys)}
+    other = right.withColumnsRenamed(named)
+    same = F.lit(True)
+    for key, name in named.items():
+        same = same & left[key].eqNullSafe(other[name])
+    return left.join(other, same, how).drop(*named.values())

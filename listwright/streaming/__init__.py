@@ -6,6 +6,8 @@ from listwright.streaming.streams import (
     stream_dedupe,
     stream_lines,
     stream_normalize,
+    write_known,
 )
 
-__all__ = ["append_new", "run_available", "stream_dedupe", "stream_lines", "stream_normalize"]
+__all__ = ["append_new", "run_available", "stream_dedupe", "stream_lines", "stream_normalize",
+           "write_known"]

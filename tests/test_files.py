@@ -121,10 +121,27 @@ def test_scan_source(spark, tmp_path):
         "Csv", "Txt", "Json", "Parquet", "Tsv",
     ]
     assert values(files.scan_source(spark, str(tmp_path), "plain")) == ["Readme", "Listed"]
-    with pytest.raises(ValueError):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         files.scan_source(spark, str(tmp_path), "absent")
 
 
+def test_scan_source_with_mixed_files(spark, tmp_path):
+    write(
+        tmp_path,
+        s__A_dot_CSV='id,name\n1,"multi\nline"\n2,Two\n',
+        s__b_dot_TXT="Txt\n",
+        s__a_dot_json='[{"id": 1, "username": "Ann"}]',
+        s__b_dot_Json='[{"name": "Bob", "id": 2}]',
+    )
+    for column, value in (("username", "Cid"), ("name", "Dee")):
+        one = spark.createDataFrame([(1, value)], f"id int, {column} string")
+        one.write.parquet(str(tmp_path / "s" / column))
+    scanned = files.scan_source(spark, str(tmp_path), "s").orderBy(*files.SOURCE_PLACE)
+    got = [r.original for r in scanned.collect()]
+    assert got[:3] == ["multi\nline", "Two", "Txt"]
+    assert sorted(got[3:5]) == ["Ann", "Bob"] and sorted(got[5:]) == ["Cid", "Dee"]
+
+
 def test_merge_lists(spark, tmp_path):
     write(tmp_path, z_list="Zoe\nAnn!\nbob\n", a_list="Bob\nEve\n")
     merged = sources.merge_lists(spark, [str(tmp_path / "z_list"), str(tmp_path / "a_list")], "s")

@@ -215,17 +215,32 @@ def test_conflict_suffix_without_clash(spark):
     assert got == {"p1": "x.txt", "p2": "x_1.txt", "p3": "x.txt"}
 
 
-def test_lookup_join_beyond_the_broadcast_limit(spark):
-    rows = skewed(random.Random(6), 500)
-    df = spark.createDataFrame(rows, LINES)
+def test_registry_side(spark):
+    df = spark.createDataFrame(skewed(random.Random(6), 500), LINES)
+    df = df.withColumn("tags", F.create_map(F.lit("k"), "nick"))
     slugs = spark.createDataFrame([(f"s{i}", i * 10) for i in (0, 2, 3, 9)], "source string, x int")
-    for how in ("inner", "left", "left_semi", "left_anti"):
-        small = storage.lookup_join(df, slugs, "source", how)
-        large = storage.lookup_join(df, slugs, "source", how, max_rows=2)
-        assert small.columns == large.columns
-        assert small.count() == large.count() and small.exceptAll(large).isEmpty()
-    plan = storage.lookup_join(df, slugs, "source")._jdf.queryExecution().toString()
-    assert "BroadcastHashJoin" in plan
+    joined = df.join(storage.registry_side(slugs), "source")
+    assert joined.count() == df.where("source in ('s0', 's2', 's3')").count()
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().toString()
+    with pytest.raises(Exception, match="more than 3 rows"):
+        df.join(storage.registry_side(slugs, most=3), "source").count()
+
+
+def test_group_ordinal_with_null_groups(spark):
+    rows = [(None, 3), (None, 1), ("a", 2), ("a", 0)]
+    df = spark.createDataFrame(rows, "g string, i int")
+    placed = ordering.group_ordinal(df, ("g",), ("i",)).collect()
+    assert {(r.g, r.i): r.ord_in_group for r in placed} == {
+        (None, 1): 0, (None, 3): 1, ("a", 0): 0, ("a", 2): 1,
+    }
+
+
+def test_conflict_suffix_with_null_category_and_long_numbers(spark):
+    names = ["x.txt", "x.txt", "x_1.txt", "y_12345678901.txt", "y.txt", "y.txt"]
+    files = [(f"p{i}", None, n) for i, n in enumerate(names)]
+    df = spark.createDataFrame(files, "path string, category string, name string")
+    got = [r.target for r in conflict_suffix(df).orderBy("path").collect()]
+    assert got == ["x.txt", "x_2.txt", "x_1.txt", "y_12345678901.txt", "y.txt", "y_1.txt"]
 
 
 def test_consolidate_and_stats(spark):
@@ -270,7 +285,9 @@ def test_streams(spark, tmp_path):
     streaming.append_new(stream, table)
     (folder / "3.txt").write_text("d\na\n")
     streaming.append_new(stream, table)
-    assert sorted(r.value for r in spark.read.parquet(table).collect()) == ["C!", "a", "b", "c", "d"]
+    known = spark.read.parquet(table)
+    assert sorted(r.value for r in known.collect()) == ["C!", "a", "b", "c", "d"]
+    assert known.columns == ["value", "bucket"]
 
 
 def test_stream_resumes_where_it_stopped(spark, tmp_path):
