@@ -145,3 +145,12 @@ def test_no_python_in_the_default_path(spark):
     df = spark.range(1).select(F.lit("x").alias("original"))
     plan = dedupe.normalize_names(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_letters_of_other_scripts_and_forms(spark):
+    values = ["Иван", "Γιώργος", "ａｂｃ", "𝐚𝐛𝑐", "½", "Ⅳ", "ﬁsh", "a b", "a　b", "Щука", "ψυχή",
+              "x²", "ǆ", "№", "объект", "Ёж", "日本", "ⓐ"]
+    assert apply(spark, fn.normalize_name, values) == [
+        "ivan", "giorgos", "abc", "abc", "12", "iv", "fish", "a b", "a b", "shchuka", "psukhe",
+        "x2", "dz", "", "obekt", "iozh", "", "a",
+    ]
