@@ -454,9 +454,8 @@ def export_stats(spark, sf):
 
 @query
 def with_original(spark, sf):
-    lines = joins.with_priority(b.lines(spark, sf), b.partial_registry(spark, sf))
-    names = dedupe.dedupe_unordered(dedupe.normalize_names(b.lines(spark, sf)))
-    return joins.with_original(names, dedupe.normalize_names(lines))
+    lines = joins.with_priority(b.lines(spark, sf), b.partial_registry(spark, sf), how="left")
+    return joins.original_forms(dedupe.normalize_names(lines))
 
 
 @query

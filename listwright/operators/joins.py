@@ -10,11 +10,15 @@ from listwright.storage import registry_side
 
 
 def with_priority(
-    df: DataFrame, registry: DataFrame, columns: tuple[str, ...] = ("priority",)
+    df: DataFrame,
+    registry: DataFrame,
+    columns: tuple[str, ...] = ("priority",),
+    how: str = "inner",
 ) -> DataFrame:
-    """Rows of registered sources, with ``columns`` of the registry."""
+    """Rows of registered sources, with ``columns`` of the registry; with ``how="left"`` the rows
+    of other sources stay, with nulls."""
     lookup = registry.select(F.col("slug").alias("source"), *columns)
-    return df.join(registry_side(lookup), "source")
+    return df.join(registry_side(lookup), "source", how)
 
 
 def registered_only(df: DataFrame, registry: DataFrame) -> DataFrame:
@@ -40,14 +44,25 @@ def files_by_source(valid_files: DataFrame, listing: DataFrame) -> DataFrame:
     return listing.select("source", "path").join(valid_files.select("path"), "path")
 
 
+def original_forms(names: DataFrame, order: tuple[str, ...] = LINE_ORDER) -> DataFrame:
+    """Each name with the original form of its first occurrence in a registered source:
+    ``(nick, original)``, in one pass over names whose ``priority`` is null in other sources.
+
+    A name of other sources only keeps itself.
+    """
+    registered = F.when(F.col("priority").isNotNull(), F.struct(*order, "original"))
+    first = names.groupBy("nick").agg(F.min(registered).alias("first"))
+    return first.select("nick", F.coalesce("first.original", "nick").alias("original"))
+
+
 def with_original(
     deduped: DataFrame, normalized: DataFrame, order: tuple[str, ...] = LINE_ORDER
 ) -> DataFrame:
     """Attach to each name the original form of its first occurrence: ``(nick, original)``.
 
     A name without one keeps itself. Both sides are unique per name at the join. When the
-    names come from ``dedupe_priority`` over the same lines, its ``keep`` does this
-    without a join.
+    names come from the same lines, ``original_forms`` or the ``keep`` of
+    ``dedupe_priority`` do this without a join.
     """
     first = F.min(F.struct(*order, "original"))
     originals = normalized.groupBy("nick").agg(first["original"].alias("original"))

@@ -86,14 +86,19 @@ def error_summary(quarantine: DataFrame) -> DataFrame:
     return quarantine.groupBy("phase", "reason").agg(F.count("*").alias("n_errors"))
 
 
-def source_stats(
-    raw: DataFrame, per_file: DataFrame, deduped: DataFrame, registry: DataFrame
-) -> DataFrame:
-    """Per registered source: raw lines, uniques per file, new values and running total."""
-    n_raw = count_by_source(raw).withColumnRenamed("n_rows", "n_raw")
-    n_names = count_by_source(per_file).withColumnRenamed("n_rows", "n_normalized")
-    counted = new_uniques(deduped, registry).withColumnRenamed("slug", "source")
-    joined = counted.join(n_raw, "source", "left").join(n_names, "source", "left")
+def source_stats(per_file: DataFrame, registry: DataFrame) -> DataFrame:
+    """Per registered source: raw lines, uniques per file, new values and running total.
+
+    ``per_file(source, priority, nick, n_lines)`` has a row per value of a file, with the lines
+    that hold it; lines without a value are under the empty one.
+    """
+    named = F.col("nick") != ""
+    counts = per_file.groupBy("source").agg(
+        F.sum("n_lines").alias("n_raw"), F.count_if(named).alias("n_normalized")
+    )
+    firsts = per_file.where(named).groupBy("nick").agg(F.min("priority").alias("priority"))
+    counted = new_uniques(firsts, registry).withColumnRenamed("slug", "source")
+    joined = counted.join(counts, "source", "left")
     return joined.fillna(0, ["n_raw", "n_normalized"]).select(
         "source", "priority", "n_raw", "n_normalized", "n_new", "n_total"
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listwright.functions import kinds
+from listwright.functions import NAME_STEPS, kinds
 from listwright.operators.dedupe import (
     LINE_ORDER,
     dedupe_lines,
@@ -17,6 +17,7 @@ from listwright.operators.emails import EMAIL_PARTS, parse_emails, tag_values
 from listwright.operators.joins import with_priority
 from listwright.operators.ordering import CHUNK_ROWS, global_ordinal, with_commas
 from listwright.operators.stats import source_stats, value_stats
+from listwright.sources.lines import add_computed
 from listwright.storage import stored
 
 
@@ -59,9 +60,15 @@ def consolidate_emails(email_lines: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def stats_report(lines: DataFrame, registry: DataFrame) -> DataFrame:
-    """Raw lines, normalised, new and accumulated values per source in priority order."""
-    per_file = stored(_per_file(lines, registry), "per-file")
-    return source_stats(lines, per_file, dedupe_priority(per_file), registry)
+    """Raw lines, normalised, new and accumulated values per source in priority order.
+
+    The lines are read once; what they come to per file and value is written and read twice.
+    """
+    named = add_computed(with_priority(lines, registry), "nick", "original", *NAME_STEPS)
+    per_file = named.groupBy("source", "priority", "file", "nick").agg(
+        F.count("*").alias("n_lines")
+    )
+    return source_stats(stored(per_file, "per-file"), registry)
 
 
 def stats_total(lines: DataFrame, registry: DataFrame) -> DataFrame:

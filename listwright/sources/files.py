@@ -31,7 +31,7 @@ def scan_delimited(
     header: bool = True,
     column: str | None = None,
     strict: bool = False,
-    same_header: bool = False,
+    same_header: bool = True,
     multi_line: bool = False,
     **globs: str | bool,
 ) -> DataFrame:
@@ -39,7 +39,8 @@ def scan_delimited(
 
     All cells are read as text. Missing cells are null. A row with too many cells is left
     out; with ``strict`` the whole file that holds it is. See ``quarantine_delimited``.
-    Files may have different headers: unless ``same_header``, a first pass looks for them.
+    All files have the header of the first one; with ``same_header=False`` a pass over the text
+    looks for the header of each file.
     ``multi_line`` is for quoted cells that hold line breaks; each file is then read by one task.
     """
     options = {"multiLine": multi_line, "header": header}
@@ -62,7 +63,7 @@ def quarantine_delimited(
     source: str,
     sep: str = ",",
     header: bool = True,
-    same_header: bool = False,
+    same_header: bool = True,
     multi_line: bool = False,
     **globs: str | bool,
 ) -> DataFrame:
@@ -230,11 +231,15 @@ def scan_source(
     found = find_data_files(scan_manifest(spark, root, slug))
     present = {row["ext"]: row["listed"] for row in _formats(found).collect()}
     readers = {
-        ".csv": lambda **g: scan_delimited(spark, folder, slug, multi_line=multi_line, **g),
+        ".csv": lambda **g: scan_delimited(
+            spark, folder, slug, same_header=False, multi_line=multi_line, **g
+        ),
         ".txt": lambda **g: scan_lines(spark, folder, slug, **g),
         ".json": lambda **g: scan_json(spark, folder, slug, same_schema=False, **g),
         ".parquet": lambda **g: scan_parquet(spark, folder, slug, same_schema=False, **g),
-        ".tsv": lambda **g: scan_delimited(spark, folder, slug, sep="\t", strict=True, **g),
+        ".tsv": lambda **g: scan_delimited(
+            spark, folder, slug, sep="\t", strict=True, same_header=False, **g
+        ),
     }
     scans = [
         readers[ext](pattern=_any_case(ext), recursive=True).withColumn("ext_rank", extension_rank(F.lit(ext)))

@@ -48,9 +48,9 @@ def test_csv_scan(spark, tmp_path):
         a_dot_csv='id,username,note\n1,Ann,x\n2,Bob\n3,"C, d","say ""hi"""\n4,Eve,a,b\n5,Eve,a,b,c\n',
         b_dot_csv="username\nZoe\n",
     )
-    scanned = files.scan_delimited(spark, str(tmp_path), "s")
+    scanned = files.scan_delimited(spark, str(tmp_path), "s", same_header=False)
     assert values(scanned) == ["Ann", "Bob", "C, d", "Zoe"]
-    bad = files.quarantine_delimited(spark, str(tmp_path), "s")
+    bad = files.quarantine_delimited(spark, str(tmp_path), "s", same_header=False)
     assert sorted(r.raw for r in bad.collect()) == ["4,Eve,a,b", "5,Eve,a,b,c"]
     assert bad.columns == list(files.QUARANTINE_COLUMNS)
 

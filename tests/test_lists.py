@@ -73,6 +73,9 @@ def test_dedupe_is_the_minimum_of_each_group(spark, seed):
     names = df.select("nick").union(spark.createDataFrame([("lonely",)], "nick string")).distinct()
     originals = {r.nick: r.original for r in joins.with_original(names, df).collect()}
     assert originals == {**{k: v[1] for k, v in best.items()}, "lonely": "lonely"}
+    alone = spark.createDataFrame([("x", None, "f", 1, "LONELY", "lonely")], LINES)
+    forms = {r.nick: r.original for r in joins.original_forms(df.union(alone)).collect()}
+    assert forms == originals
 
 
 def test_dedupe_lines(spark):

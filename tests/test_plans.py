@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from listwright.operators import dedupe, emails, ordering, stats
+from listwright.operators import dedupe, emails, joins, ordering, stats
 from listwright.plans.consolidate import consolidate, consolidate_emails, stats_total
 from listwright.sources import manifest
 
@@ -88,3 +88,9 @@ def test_ordinals_are_read_not_computed(spark):
     df = spark.range(100).select(F.col("id").alias("line_no"))
     plan = plan_of(ordering.global_ordinal(df, ("line_no",)))
     assert shuffles(plan) == 0 and "Window" not in plan and "Sort" not in plan
+
+
+def test_original_forms_come_from_one_pass(spark, tmp_path):
+    lines = joins.with_priority(stored_lines(spark, tmp_path), registry(spark), how="left")
+    plan = plan_of(joins.original_forms(dedupe.normalize_names(lines)))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
