@@ -144,6 +144,12 @@ _QUARANTINE = f"""{MANIFEST}, {SENTENCES}, {EMAILS}, quarantine AS (
 ORACLE["quarantine"] = f"WITH {_QUARANTINE} SELECT * FROM quarantine"
 ORACLE["error_summary"] = f"""WITH {_QUARANTINE} SELECT phase, reason, count(*) AS n_errors
   FROM quarantine GROUP BY ALL"""
+ORACLE["quarantine_files"] = """SELECT 'events' AS source, 'read' AS phase, 'no JSON' AS reason,
+    '{broken ' || event_id AS raw, count(*) AS n FROM events WHERE event_id % 10 = 0 GROUP BY ALL
+  UNION ALL SELECT 'events', 'read', 'too many fields',
+    event_type || chr(9) || event_type || chr(9) || event_type, count(*)
+  FROM events WHERE event_id % 50 = 7 GROUP BY ALL
+  UNION ALL SELECT 'events', 'read', 'file left out', NULL, 1"""
 ORACLE["source_union"] = " UNION ALL ".join(
     f"""SELECT '{t}' AS source, '{t}' AS file, CAST({key} AS BIGINT) AS line_no,
     {value} AS original FROM {t}"""

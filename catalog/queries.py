@@ -152,6 +152,27 @@ def quarantine(spark, sf):
     return _quarantine(spark, sf)
 
 
+@query
+def quarantine_files(spark, sf):
+    """What written files hold that no scan takes: lines that are no JSON, rows with too many
+    cells, and the files these keep out."""
+    texts, tables = fresh_path(spark, "broken-json"), fresh_path(spark, "ragged")
+    events = b.table(spark, sf, "events").select("event_id", "event_type")
+    broken = F.concat(F.lit("{broken "), F.col("event_id").cast("string"))
+    whole = F.to_json(F.struct(F.col("event_type").alias("name")))
+    events.select(F.when(F.col("event_id") % 10 == 0, broken).otherwise(whole)).write.text(texts)
+    ragged = F.concat_ws("\t", "event_type", "event_type", "event_type")
+    cells = F.when(F.col("event_id") % 50 == 7, ragged).otherwise(F.concat_ws("\t", "event_type", "event_type"))
+    events.select(cells).coalesce(1).write.text(tables)
+    parts = [
+        files.quarantine_json(spark, texts, "events", multi_line=False),
+        files.quarantine_delimited(spark, tables, "events", sep="\t", header=False, strict=True),
+    ]
+    raw = F.when(F.col("reason") != "file left out", F.col("raw"))
+    rows = parts[0].unionByName(parts[1]).select("source", "phase", "reason", raw.alias("raw"))
+    return rows.groupBy("source", "phase", "reason", "raw").agg(F.count("*").alias("n"))
+
+
 @query
 def source_union(spark, sf):
     named = [

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +23,7 @@ from listwright.sources.manifest import (
 SOURCE_PLACE = ("ext_rank", *FILE_PLACE)
 QUARANTINE_COLUMNS = ("source", "file", "line_no", "phase", "reason", "raw")
 SURPLUS = "surplus_field"
+BROKEN = "broken_record"
 RAW = "raw_record"
 
 
@@ -65,9 +69,11 @@ def quarantine_delimited(
     header: bool = True,
     same_header: bool = True,
     multi_line: bool = False,
+    strict: bool = False,
     **globs: str | bool,
 ) -> DataFrame:
-    """The rows with too many cells, as quarantine rows."""
+    """The rows with too many cells, as quarantine rows; with ``strict`` also, once, each file
+    that such a row keeps from being read."""
     options = {"multiLine": multi_line, "header": header}
     scans = []
     for table in _delimited_tables(spark, paths, sep, header and not same_header, options, globs):
@@ -75,7 +81,14 @@ def quarantine_delimited(
         raw = F.coalesce(F.col(RAW), F.concat_ws(sep, *cells))
         scans.append(_placed(table.where(F.col(SURPLUS).isNotNull()), raw, source))
     rows = _union(scans)
-    return rows.select(*_quarantine_row("line_no", "read", "too many fields", "original"))
+    found = rows.select(*_quarantine_row("line_no", "read", "too many fields", "original"))
+    if not strict:
+        return found
+    none = F.lit(None).cast("long").alias("line_no")
+    dropped = rows.select("source", "file", none, F.col("file").alias("original")).distinct()
+    return found.unionByName(
+        dropped.select(*_quarantine_row("line_no", "read", "file left out", "original"))
+    )
 
 
 def _delimited_tables(
@@ -132,8 +145,10 @@ def scan_json(
 
     Unless ``same_schema``, each file has a name column of its own: see ``_by_file``.
     """
-    options = {"multiLine": multi_line, "primitivesAsString": True, **_glob_options(globs)}
-    table = spark.read.options(**options).json(paths)
+    table = _json_table(spark, paths, multi_line, globs)
+    if BROKEN in table.columns:
+        whole = [_quoted(c) for c in table.columns if c != BROKEN]
+        table = table.where(F.col(BROKEN).isNull()).select(*whole, "_metadata")
     if column is None and not same_schema and len(table.columns) > 1:
         return _by_file(table, source, F.monotonically_increasing_id())
     chosen = column or pick_name_column(table)
@@ -142,6 +157,37 @@ def scan_json(
     return _placed(table, to_text(table, _quoted(chosen)), source)
 
 
+def quarantine_json(
+    spark: SparkSession,
+    paths: str | list[str],
+    source: str,
+    multi_line: bool = True,
+    **globs: str | bool,
+) -> DataFrame:
+    """Documents, or lines, that are no JSON, as quarantine rows. ``scan_json`` leaves them out."""
+    table = _json_table(spark, paths, multi_line, globs)
+    if BROKEN in table.columns:
+        # Spark wants a query of broken records to name other columns as well; they are null there.
+        others = [_quoted(c).isNull() for c in table.columns if c != BROKEN]
+        table = table.where(F.col(BROKEN).isNotNull() & reduce(and_, others))
+        rows = _placed(table, BROKEN, source)
+    else:
+        rows = _placed(table, F.lit(None).cast("string"), source).where("false")
+    return rows.select(*_quarantine_row("line_no", "read", "no JSON", "original"))
+
+
+def _json_table(
+    spark: SparkSession, paths: str | list[str], multi_line: bool, globs: dict[str, str | bool]
+) -> DataFrame:
+    options = {"multiLine": multi_line, "primitivesAsString": True, **_glob_options(globs)}
+    options["columnNameOfCorruptRecord"] = BROKEN
+    table = spark.read.options(**options).json(paths)
+    if table.columns == [BROKEN]:
+        reader = spark.read.options(**options).schema(f"name string, {BROKEN} string")
+        table = reader.json(paths)
+    return table
+
+
 def _first_json_key(
     spark: SparkSession, paths: str | list[str], globs: dict[str, str | bool]
 ) -> str | None:
@@ -159,14 +205,17 @@ def scan_parquet(
     source: str,
     column: str | None = None,
     same_schema: bool = True,
+    skip_unreadable: bool = False,
     **globs: str | bool,
 ) -> DataFrame:
     """Name column of Parquet files; only that column is read.
 
-    Unless ``same_schema``, each file has a name column of its own: see ``_by_file``.
+    With ``skip_unreadable`` broken files are passed over; ``quarantine_parquet`` lists them. Unless ``same_schema``, each file has a name column of its own: see ``_by_file``.
     """
     names = [paths] if isinstance(paths, str) else paths
-    options = {"mergeSchema": not same_schema, **_glob_options(globs)}
+    options = {"mergeSchema": skip_unreadable or not same_schema, **_glob_options(globs)}
+    if skip_unreadable:
+        options["ignoreCorruptFiles"] = True
     table = spark.read.options(**options).parquet(*names)
     if column is None and not same_schema and len(table.columns) > 1:
         return _by_file(table, source, F.col("_metadata.row_index"))
@@ -180,6 +229,25 @@ def scan_parquet(
     )
 
 
+def quarantine_parquet(manifest: DataFrame, scanned: DataFrame) -> DataFrame:
+    """Parquet files of a manifest that no scanned row comes from: broken or without rows.
+
+    ``scanned`` is a scan with ``skip_unreadable`` of the same files.
+    """
+    tables = manifest.where(F.col("ext") == ".parquet")
+    unread = tables.join(
+        scanned.select(F.col("file").alias("path")).distinct(), "path", "left_anti"
+    )
+    return unread.select(
+        "source",
+        F.col("path").alias("file"),
+        F.lit(None).cast("long").alias("line_no"),
+        F.lit("read").alias("phase"),
+        F.lit("no readable row").alias("reason"),
+        F.col("name").alias("raw"),
+    )
+
+
 def _by_file(table: DataFrame, source: str, row_no: Column) -> DataFrame:
     """Lines of files with different columns: of each file the first column with any value, the
     usual name columns first, then the others in the order of the joint schema.
@@ -236,7 +304,9 @@ def scan_source(
         ),
         ".txt": lambda **g: scan_lines(spark, folder, slug, **g),
         ".json": lambda **g: scan_json(spark, folder, slug, same_schema=False, **g),
-        ".parquet": lambda **g: scan_parquet(spark, folder, slug, same_schema=False, **g),
+        ".parquet": lambda **g: scan_parquet(
+            spark, folder, slug, same_schema=False, skip_unreadable=True, **g
+        ),
         ".tsv": lambda **g: scan_delimited(
             spark, folder, slug, sep="\t", strict=True, same_header=False, **g
         ),

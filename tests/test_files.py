@@ -142,6 +142,31 @@ def test_scan_source_with_mixed_files(spark, tmp_path):
     assert sorted(got[3:5]) == ["Ann", "Bob"] and sorted(got[5:]) == ["Cid", "Dee"]
 
 
+def test_unreadable_files_go_to_quarantine(spark, tmp_path):
+    write(
+        tmp_path,
+        s__good_dot_json='[{"name": "Ann"}]',
+        s__bad_dot_json='[{"name": "Bob"',
+        s__bad_dot_parquet="no table",
+        s__t_dot_txt="Txt\n",
+        s__x_dot_tsv="name\nTsv\ta\n",
+    )
+    spark.createDataFrame([("Cid",)], "name string").write.parquet(str(tmp_path / "s" / "p"))
+    root = str(tmp_path)
+    assert sorted(values(files.scan_source(spark, root, "s"))) == ["Ann", "Cid", "Txt"]
+    folder = f"{root}/s"
+    bad = files.quarantine_json(spark, folder, "s", pattern="*.json").collect()
+    assert [(r.file.rsplit("/", 1)[1], r.reason) for r in bad] == [("bad.json", "no JSON")]
+    scanned = files.scan_parquet(
+        spark, folder, "s", skip_unreadable=True, pattern="*.parquet", recursive=True
+    )
+    listed = manifest.scan_manifest(spark, root)
+    lost = files.quarantine_parquet(listed, scanned).collect()
+    assert [(r.raw, r.reason) for r in lost] == [("bad.parquet", "no readable row")]
+    dropped = files.quarantine_delimited(spark, folder, "s", sep="\t", strict=True, pattern="*.tsv")
+    assert sorted(r.reason for r in dropped.collect()) == ["file left out", "too many fields"]
+
+
 def test_merge_lists(spark, tmp_path):
     write(tmp_path, z_list="Zoe\nAnn!\nbob\n", a_list="Bob\nEve\n")
     merged = sources.merge_lists(spark, [str(tmp_path / "z_list"), str(tmp_path / "a_list")], "s")
