@@ -235,9 +235,12 @@ def quarantine_parquet(manifest: DataFrame, scanned: DataFrame) -> DataFrame:
     ``scanned`` is a scan with ``skip_unreadable`` of the same files.
     """
     tables = manifest.where(F.col("ext") == ".parquet")
-    unread = tables.join(
-        scanned.select(F.col("file").alias("path")).distinct(), "path", "left_anti"
-    )
+
+    def plain(path: str) -> Column:  # listings and scans write a scheme's slashes differently
+        return F.regexp_replace(path, r"^([a-zA-Z0-9+.-]+):/+", "$1:/").alias("_plain")
+
+    read = scanned.select("file").distinct().select(plain("file"))
+    unread = tables.withColumn("_plain", plain("path")).join(read, "_plain", "left_anti")
     return unread.select(
         "source",
         F.col("path").alias("file"),
