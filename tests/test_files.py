@@ -151,7 +151,8 @@ def test_unreadable_files_go_to_quarantine(spark, tmp_path):
         s__t_dot_txt="Txt\n",
         s__x_dot_tsv="name\nTsv\ta\n",
     )
-    spark.createDataFrame([("Cid",)], "name string").write.parquet(str(tmp_path / "s" / "p"))
+    one = spark.createDataFrame([("Cid",)], "name string").coalesce(1)
+    one.write.parquet(str(tmp_path / "s" / "p"))
     root = str(tmp_path)
     assert sorted(values(files.scan_source(spark, root, "s"))) == ["Ann", "Cid", "Txt"]
     folder = f"{root}/s"
