@@ -36,12 +36,14 @@ from pyspark.sql import functions as F
 from listwright.storage import stored
 
 LENGTH = 400
-GRAM = 200
+GRAM = 120
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 # Bytes of suffixes that a task sorts at once, and suffixes of a range that is merged at once.
-RUN_BYTES = 48_000_000
-RANGE_SUFFIXES = 60_000
+RUN_BYTES = 20_000_000
+RANGE_SUFFIXES = 5_000
+# Ranges to a task, one after the other.
+TASK_RANGES = 6
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -129,12 +131,11 @@ def common_prefix(a: bytes, b: bytes, known: int = 0) -> int:
 def suffixes(
     text: bytes, places: list[int], row: int, length: int, gram: int
 ) -> Iterator[Suffix]:
-    every = np.frombuffer(text, np.uint8)
-    for place in places:
-        code = window_hashes(every[place : place + gram], gram)[0]
+    codes = window_hashes(np.frombuffer(text, np.uint8), gram)[places].tolist()
+    for place, code in zip(places, codes):
         before = text[max(0, place - (length - gram)) : place][::-1]
         yield Suffix(
-            int(code).to_bytes(8, "big") + text[place : place + length], before, row, place
+            code.to_bytes(8, "big") + text[place : place + length], before, row, place
         )
 
 
@@ -267,6 +268,12 @@ def _identified(docs: DataFrame, text: str, key: str) -> DataFrame:
     )
 
 
+def _rows(batch: pa.RecordBatch, at_once: int = 64) -> Iterator[tuple]:
+    """The rows of a batch; only a few texts of it are held as Python objects at a time."""
+    for start in range(0, batch.num_rows, at_once):
+        yield from zip(*(c.slice(start, at_once).to_pylist() for c in batch.columns))
+
+
 def repeated_anchors(
     docs: DataFrame, text: str, key: str, length: int, gram: int
 ) -> DataFrame:
@@ -274,7 +281,7 @@ def repeated_anchors(
 
     def run(batches):
         for batch in batches:
-            for at, value in enumerate(batch.column(2).to_pylist()):
+            for at, (_, _, value) in enumerate(_rows(batch)):
                 places, hashes = anchors(value, length, gram)
                 if len(places):
                     row = pa.array(np.full(len(places), at))
@@ -307,43 +314,37 @@ def sorted_runs(
         size = 0
 
         def flush(kind: pa.DataType):
+            """The suffixes held, as one run per range, in one batch."""
             held.sort()
-            at = 0
-            while at < len(held):
-                which = int.from_bytes(held[at].sorted_by[:8], "big") * ranges >> 64
-                end = at + 1
-                while end < len(held) and (
-                    int.from_bytes(held[end].sorted_by[:8], "big") * ranges >> 64 == which
-                ):
-                    end += 1
-                part = held[at:end]
-                shared, tail, shared_before, before_tail = zip(*_front_coded(part))
-                keys, versions = zip(*(rows[s.row] for s in part))
-                n = len(part)
-                values = [[which] * n, [number] * n, range(n), shared, tail, shared_before,
-                          before_tail, [s.place for s in part], keys, versions]
-                types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32(),
-                         pa.binary(), pa.int32(), kind, pa.int64()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, t) for v, t in zip(values, types)], names
-                )
-                at = end
+            which = [int.from_bytes(s.sorted_by[:8], "big") * ranges >> 64 for s in held]
+            ends = [i for i in range(1, len(held)) if which[i] != which[i - 1]] + [len(held)]
+            coded: list[tuple] = []
+            for start, end in zip([0, *ends], ends):
+                coded += _front_coded(held[start:end])
+            shared, tail, shared_before, before_tail = zip(*coded)
+            keys, versions = zip(*(rows[s.row] for s in held))
+            values = [which, [number] * len(held), range(len(held)), shared, tail, shared_before,
+                      before_tail, [s.place for s in held], keys, versions]
+            types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32(),
+                     pa.binary(), pa.int32(), kind, pa.int64()]
+            arrays = [pa.array(v, t) for v, t in zip(values, types)]
+            return pa.RecordBatch.from_arrays(arrays, names)
 
         for batch in batches:
             kind = batch.column(0).type
-            for key, version, text, places in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, version, text, places in _rows(batch):
                 rows.append((key, version))
                 for s in suffixes(text, places, len(rows) - 1, length, gram):
                     held.append(s)
                     size += len(s.sorted_by) + len(s.before) + 200
                     if size >= run_bytes:
-                        yield from flush(kind)
+                        yield flush(kind)
                         number, held, size = number + 1, [], 0
                         rows = [rows[-1]] * len(rows)
             if not held:
                 rows = []
         if held:
-            yield from flush(kind)
+            yield flush(kind)
 
     kind = texts.schema["key"].dataType.simpleString()
     return texts.select("key", "version", "text", "places").mapInArrow(
@@ -357,37 +358,39 @@ def repeated_stretches(runs: DataFrame, ranges: int, length: int, gram: int) ->
     """``(key, version, start, end)`` to remove, from the runs of each range merged."""
     names = ["key", "version", "start", "end"]
 
-    def of_range(rows: list[tuple], kind: pa.DataType):
-        runs: dict[int, list[tuple]] = {}
-        for row in rows:
-            runs.setdefault(row[0], []).append(row[1:])
-        shared, befores, kept = zip(*merged(list(runs.values())))
-        found, starts, ends = covered(
-            np.array(shared) - 8, list(befores), np.array([r[4] for r in kept]), length, gram
-        )
+    def of_range(runs: dict[int, list[tuple]], kind: pa.DataType):
+        shared, befores, places, owners = [], [], [], []
+        for common, before, row in merged(list(runs.values())):
+            shared.append(common - 8)
+            befores.append(before)
+            places.append(row[4])
+            owners.append(row[5:7])
+        found, starts, ends = covered(np.array(shared), befores, np.array(places), length, gram)
         if len(found):
-            keys, versions = zip(*(kept[i][5:7] for i in found.tolist()))
+            keys, versions = zip(*(owners[i] for i in found.tolist()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, kind), pa.array(versions, pa.int64()), pa.array(starts, pa.int64()),
                  pa.array(ends, pa.int64())], names,
             )
 
     def run(batches):
-        which, rows, kind = None, [], None
+        which, kind = None, None
+        runs: dict[int, list[tuple]] = {}
         for batch in batches:
             kind = batch.column(8).type
-            for number, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                if number != which and rows:
-                    yield from of_range(rows, kind)
-                    rows = []
+            for number, *row in _rows(batch, 4096):
+                if number != which and runs:
+                    yield from of_range(runs, kind)
+                    runs.clear()
                 which = number
-                # run, then shared, tail, shared_before, before_tail, place, key, version
-                rows.append((row[0], *row[2:]))
-        if rows:
-            yield from of_range(rows, kind)
+                # By run: shared, tail, shared_before, before_tail, place, key, version.
+                runs.setdefault(row[0], []).append(tuple(row[2:]))
+        if runs:
+            yield from of_range(runs, kind)
 
     kind = runs.schema["key"].dataType.simpleString()
-    dealt = runs.repartition(ranges, "range").sortWithinPartitions("range", "run", "seq")
+    tasks = -(-ranges // TASK_RANGES)
+    dealt = runs.repartition(tasks, "range").sortWithinPartitions("range", "run", "seq")
     return dealt.mapInArrow(run, f"key {kind}, version bigint, start bigint, end bigint")
 
 
@@ -437,7 +440,7 @@ def kept_digests(
     def run(batches):
         for batch in batches:
             out = []
-            for value, stretches in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for _, value, stretches in _rows(batch):
                 n, spans, rest = _without(value, stretches)
                 out.append((len(value), n, spans, hashlib.sha256(rest).hexdigest()))
             if out:
