@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from catalog.queries import QUERIES
@@ -28,7 +29,9 @@ def main() -> None:
     cores = int(os.environ.get("BENCH_CPUS", "8"))
     chosen = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or HEADLINES
     runs = int(os.environ.get("BENCH_RUNS", "2"))
-    spark = local_session(cores, memory=os.environ.get("BENCH_MEMORY", "16g"))
+    memory = os.environ.get("BENCH_MEMORY", "16g")
+    shared = tempfile.mkdtemp(prefix="bench-")
+    spark = local_session(cores, memory=memory, spark__checkpoint__dir=shared)
     times = {}
     for name in chosen:
         best = float("inf")
