@@ -1,13 +1,17 @@
 """Benchmark decontamination by the q-gram lemma, and banded alignment of what it leaves.
 
 Texts are compared as UTF-8 in lower case, with every run of ASCII characters other than letters and
-digits as one space. A benchmark item is cut into overlapping segments; a document is contaminated by
-an item if a segment occurs in it with at most ``errors`` of its length in edits.
+digits as one space. A benchmark item is cut into segments that begin every ``shift`` bytes and where
+the last one ends with the item; a document is contaminated by an item if a segment occurs in it with
+at most ``errors`` of its length in edits. With ``SHIFT``, which is within the edits of a whole
+segment, every verbatim excerpt of ``SEGMENT - SHIFT`` bytes is found, wherever in the item it begins;
+with ``STEP``, shorter ones than ``SEGMENT + STEP - 20`` bytes only at some places. Segments at every
+``STEP`` bytes and the last one are counted; the others between them only tell.
 
 Such an occurrence of a segment of length m with k edits keeps at least m - q + 1 - k q of its
 q-grams, on diagonals (place in the document less place in the segment) that span at most k. So
-shared q-grams are counted per segment in overlapping bands of diagonals, regions that meet the bound
-are kept, and banded alignment finds the edits of each. Nothing is lost before the alignment.
+shared q-grams are counted in overlapping bands of diagonals, per item and then, where an item has
+enough, per segment; regions that meet the bound are kept, and banded alignment finds the edits of each. Nothing is lost before the alignment.
 
 The benchmark is read in blocks of at most ``BLOCK_BYTES`` of text (or one item), and each block is
 sent to all tasks and held against all documents where they are read; documents are not shuffled.
@@ -30,6 +34,7 @@ from pyspark.sql import functions as F
 Q = 8
 SEGMENT = 100
 STEP = 50
+SHIFT = 10
 LEAST = 30
 ERRORS = 0.1
 BLOCK_BYTES = 4_000_000
@@ -51,14 +56,10 @@ def normalised(text: str | None) -> bytes:
     return b" ".join(text.encode().translate(_PLAIN).split())
 
 
-def segments(item: bytes) -> list[bytes]:
-    """Overlapping segments of an item; the last one ends where the item ends."""
-    if len(item) < LEAST:
-        return []
-    starts = list(range(0, max(1, len(item) - SEGMENT), STEP))
-    if len(item) > SEGMENT:
-        starts.append(len(item) - SEGMENT)
-    return [item[s : s + SEGMENT] for s in starts]
+def segments(length: int, shift: int) -> np.ndarray:
+    """Where the segments of an item begin; the last one ends where the item ends."""
+    last = max(0, length - SEGMENT)
+    return np.append(np.arange(0, last, shift), last)
 
 
 def _codes(text: np.ndarray) -> np.ndarray:
@@ -74,41 +75,56 @@ def _slots(codes: np.ndarray) -> np.ndarray:
 
 
 class Index(NamedTuple):
-    """The q-grams of a block of segments, and what the lemma asks of each segment."""
+    """The q-grams of a block of items, their segments, and what the lemma asks of each segment."""
 
+    text: np.ndarray  # the items, one after the other
     items: np.ndarray  # of each segment: the number of its item
-    texts: np.ndarray  # segments in rows of equal width
+    begins: np.ndarray  # where it begins in the text
+    counted: np.ndarray  # whether it is one of those that are counted
     lengths: np.ndarray
     budgets: np.ndarray
     bounds: np.ndarray
+    low: np.ndarray  # of each place in the text: the segments that hold its q-gram
+    high: np.ndarray
     present: np.ndarray  # a table of hashed q-grams, to pass over most of a text
     grams: np.ndarray  # distinct q-grams, sorted
     starts: np.ndarray  # where the places of each q-gram begin
-    places: np.ndarray  # segment and offset of each occurrence
-    offsets: np.ndarray
+    places: np.ndarray  # of each occurrence
 
 
-def build_index(items: list[bytes], errors: float = ERRORS) -> Index | None:
-    cut = [(i, s) for i, item in enumerate(items) for s in segments(item)]
-    if not cut:
+def build_index(
+    items: list[bytes], errors: float = ERRORS, shift: int = STEP
+) -> Index | None:
+    long = [i for i, item in enumerate(items) if len(item) >= LEAST]
+    if not long:
         return None
-    lengths = np.array([len(s) for _, s in cut])
+    text = np.frombuffer(b"".join(items[i] for i in long), np.uint8)
+    sizes = np.array([len(items[i]) for i in long])
+    ends = np.cumsum(sizes)
+    cut = [segments(n, shift) for n in sizes.tolist()]
+    counts = np.array([len(c) for c in cut])
+    firsts = np.cumsum(counts) - counts
+    inner = np.concatenate(cut)
+    begins = inner + np.repeat(ends - sizes, counts)
+    counted = inner % STEP == 0
+    counted[firsts + counts - 1] = True
+    lengths = np.repeat(np.minimum(sizes, SEGMENT), counts)
     budgets = np.minimum((lengths * errors).astype(np.int64), (lengths - Q) // Q)
-    codes = [_codes(np.frombuffer(s, np.uint8)) for _, s in cut]
-    owner = np.repeat(np.arange(len(cut)), [len(c) for c in codes])
-    offset = np.concatenate([np.arange(len(c)) for c in codes])
-    every = np.concatenate(codes)
+    # All segments of an item are of one length.
+    place = np.arange(len(text))
+    span = np.repeat(np.minimum(sizes, SEGMENT) - Q, sizes)
+    low = np.maximum(np.searchsorted(begins, place - span), np.repeat(firsts, sizes))
+    high = np.searchsorted(begins, place, "right")
+    places = np.flatnonzero(place + Q <= np.repeat(ends, sizes))
+    every = _codes(text)[places]
     order = np.argsort(every, kind="stable")
     grams, first = np.unique(every[order], return_index=True)
     present = np.zeros(1 << _BITS, bool)
     present[_slots(grams)] = True
-    texts = np.zeros((len(cut), SEGMENT), np.uint8)
-    for row, (_, s) in zip(texts, cut):
-        row[: len(s)] = np.frombuffer(s, np.uint8)
     return Index(
-        np.array([i for i, _ in cut]), texts, lengths, budgets,
-        lengths - Q + 1 - budgets * Q, present, grams,
-        np.append(first, len(every)), owner[order], offset[order],
+        text, np.repeat(long, counts), begins, counted, lengths, budgets,
+        lengths - Q + 1 - budgets * Q, low.astype(np.int32), high.astype(np.int32),
+        present, grams, np.append(first, len(every)), places[order],
     )
 
 
@@ -133,19 +149,33 @@ def _candidates(text: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray]
     counts = index.starts[gram + 1] - index.starts[gram]
     total = int(counts.sum())
     runs = np.repeat(index.starts[gram] - np.cumsum(counts) + counts, counts) + np.arange(total)
-    segment = index.places[runs]
-    diagonal = np.repeat(at, counts) - index.offsets[runs]
-    step = index.budgets[segment] + 1
-    band = diagonal // step
-    again = diagonal - band * step < index.budgets[segment]
-    segment = np.concatenate([segment, segment[again]])
+    place = index.places[runs]
+    diagonal = np.repeat(at, counts) - place
+    some = index.low[place]  # a segment of the item
+    band = diagonal // (index.budgets[some] + 1)
+    again = diagonal - band * (index.budgets[some] + 1) < index.budgets[some]
+    place = np.concatenate([place, place[again]])
+    some = np.concatenate([some, some[again]])
     band = np.concatenate([band, band[again] - 1])
-    # Bands may begin before the text; all are moved up to be positive.
-    keys, counts = np.unique(segment << 40 | (band + (1 << 20)), return_counts=True)
-    segment, band = keys >> 40, (keys & ((1 << 40) - 1)) - (1 << 20)
+    # What all segments of an item have in a band together is too little for most.
+    _, group, counts = np.unique(
+        _keys(index.items[some], band), return_inverse=True, return_counts=True
+    )
+    enough = counts[group] >= index.bounds[some]
+    place, band = place[enough], band[enough]
+    counts = (index.high[place] - index.low[place]).astype(np.int64)
+    runs = np.repeat(index.low[place] - np.cumsum(counts) + counts, counts)
+    segment = runs + np.arange(len(runs))
+    keys, counts = np.unique(_keys(segment, np.repeat(band, counts)), return_counts=True)
+    segment, band = keys >> 40, (keys & ((1 << 40) - 1)) - (1 << 35)
     enough = counts >= index.bounds[segment]
     segment, band = segment[enough], band[enough]
-    return segment, band * (index.budgets[segment] + 1)
+    return segment, band * (index.budgets[segment] + 1) + index.begins[segment]
+
+
+def _keys(number: np.ndarray, band: np.ndarray) -> np.ndarray:
+    """Number and band in one; bands may begin before the text, so all are moved up."""
+    return number.astype(np.int64) << 40 | (band + (1 << 35))
 
 
 def _aligned(
@@ -153,34 +183,41 @@ def _aligned(
 ) -> tuple[np.ndarray, np.ndarray]:
     """The least edits of each segment along its band, and where the best alignment ends.
 
-    All candidates go on together, one character of the segments at a time. An alignment may begin
-    and end on any diagonal of the band.
+    All candidates go on together, one character of the segments at a time, and those that are over
+    their budget everywhere are left behind. An alignment may begin and end on any diagonal of the band.
     """
     width = 2 * int(index.budgets[segment].max()) + 1
-    steps = np.arange(width)
-    outside = steps > 2 * index.budgets[segment][:, None]
-    far = 1 << 20
-    cost = np.where(outside, far, 0)
-    best = cost.copy()
-    lengths = index.lengths[segment]
+    steps = np.arange(width, dtype=np.int16)
+    far = np.int16(1 << 12)
+    edits, ends = np.full(len(segment), int(far)), np.zeros(len(segment), np.int64)
+    live = np.arange(len(segment))
+    budgets, lengths, begins = (x[segment] for x in (index.budgets, index.lengths, index.begins))
+    outside = steps > 2 * budgets[:, None]
+    cost = np.where(outside, far, np.int16(0))
     for i in range(int(lengths.max())):
         place = first[:, None] + i + steps
         inside = (place >= 0) & (place < len(text))
         here = np.where(inside, text[place.clip(0, len(text) - 1)], 0)
-        swap = cost + (here != index.texts[segment, i][:, None])
-        skip = np.full_like(cost, far)
-        skip[:, :-1] = cost[:, 1:] + 1
-        cost = np.minimum(swap, skip)
-        cost = np.minimum.accumulate(cost - steps, axis=1) + steps
+        own = index.text[(begins + i).clip(max=len(index.text) - 1)]
+        swap = cost + (here != own[:, None])
+        swap[:, :-1] = np.minimum(swap[:, :-1], cost[:, 1:] + 1)
+        cost = np.minimum.accumulate(swap - steps, axis=1) + steps
         cost[outside] = far
-        best = np.where((lengths == i + 1)[:, None], cost, best)
-    at = best.argmin(axis=1)
-    return best[np.arange(len(best)), at], first + lengths + at
-
-
-def find(texts: list[bytes], index: Index) -> list[tuple[int, int, int, int, int]]:
-    """``(text, item, segments, edits, end)`` of every item found in each of some texts: how many
-    of its segments, and the least edits of one with the end of its first such place."""
+        ended = np.flatnonzero(lengths == i + 1)
+        at = cost[ended].argmin(axis=1)
+        edits[live[ended]] = cost[ended, at]
+        ends[live[ended]] = first[ended] + i + 1 + at
+        if i % 8 == 7:
+            on = (cost.min(axis=1) <= budgets) & (lengths > i + 1)
+            live, first, cost, outside = live[on], first[on], cost[on], outside[on]
+            budgets, lengths, begins = budgets[on], lengths[on], begins[on]
+    return edits, ends
+
+
+def find(texts: list[bytes], index: Index) -> list[tuple[int, int, int, tuple]]:
+    """``(text, item, segments, (between, edits, end))`` of every item found in each of some texts:
+    how many of its counted segments, and the least edits of one with the end of its first such
+    place. ``between`` tells that only others are found, and then the best of these is given."""
     gap = _GAP * (int(index.budgets.max()) + 1)  # no alignment within a budget crosses it
     whole = np.frombuffer(gap.join(texts) + gap, np.uint8)
     segment, first = _candidates(whole, index)
@@ -192,13 +229,15 @@ def find(texts: list[bytes], index: Index) -> list[tuple[int, int, int, int, int
     starts = np.cumsum([0, *(len(t) + len(gap) for t in texts[:-1])])
     owner = np.searchsorted(starts, ends - 1, "right") - 1
     found: dict[tuple[int, int], list] = {}
-    for t, s, e, end in sorted(
-        zip(owner.tolist(), segment.tolist(), edits.tolist(), (ends - starts[owner]).tolist())
+    for t, s, e, end in zip(
+        owner.tolist(), segment.tolist(), edits.tolist(), (ends - starts[owner]).tolist()
     ):
-        known = found.setdefault((t, int(index.items[s])), [set(), (e, end)])
-        known[0].add(s)
-        known[1] = min(known[1], (e, end))
-    return [(t, item, len(k[0]), *k[1]) for (t, item), k in found.items()]
+        between = not index.counted[s]
+        known = found.setdefault((t, int(index.items[s])), [set(), (between, e, end)])
+        if not between:
+            known[0].add(s)
+        known[1] = min(known[1], (between, e, end))
+    return [(t, item, len(k[0]), k[1]) for (t, item), k in found.items()]
 
 
 def _pieces(text: bytes) -> list[tuple[int, bytes]]:
@@ -211,15 +250,15 @@ def _pieces(text: bytes) -> list[tuple[int, bytes]]:
 
 def _in_batch(texts: list[str | None], index: Index) -> list[tuple[int, int, int, int, int]]:
     """``find`` over texts of any length, in groups of bounded size."""
-    out: list[tuple[int, int, int, int, int]] = []
+    out: list[tuple[int, int, int, tuple]] = []
     rows: list[tuple[int, int]] = []
     group: list[bytes] = []
     size = 0
 
     def flush() -> None:
-        out.extend(
-            (rows[t][0], item, n, e, end + rows[t][1]) for t, item, n, e, end in find(group, index)
-        )
+        for t, item, n, (between, e, end) in find(group, index):
+            row, start = rows[t]
+            out.append((row, item, n, (between, e, end + start)))
 
     for row, text in enumerate(texts):
         for start, piece in _pieces(normalised(text)):
@@ -231,11 +270,11 @@ def _in_batch(texts: list[str | None], index: Index) -> list[tuple[int, int, int
                 rows, group, size = [], [], 0
     if group:
         flush()
-    best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for row, item, n, e, end in out:  # the pieces of a long text
-        known = best.get((row, item), (0, e, end))
-        best[row, item] = (max(known[0], n), *min(known[1:], (e, end)))
-    return [(*pair, *rest) for pair, rest in sorted(best.items())]
+    best: dict[tuple[int, int], tuple[int, tuple]] = {}
+    for row, item, n, place in out:  # the pieces of a long text
+        known = best.get((row, item), (0, place))
+        best[row, item] = (max(known[0], n), min(known[1], place))
+    return [(*pair, n, *place[1:]) for pair, (n, place) in sorted(best.items())]
 
 
 def contaminated(
@@ -247,16 +286,18 @@ def contaminated(
     item_text: str = "text",
     errors: float = ERRORS,
     block_bytes: int = BLOCK_BYTES,
+    shift: int = STEP,
 ) -> DataFrame:
     """One row per row of ``docs`` and item found in it: key, item, ``n_segments`` found (of one
     piece of a very long text the most), ``edits`` of the best one, and where that ends in the
-    normalised text (``end``)."""
+    normalised text (``end``). A passage that holds only segments between the counted ones has 0
+    ``n_segments``, and ``edits`` and ``end`` of the best of those."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
     name = benchmark.schema[item].dataType.simpleString()
     schema = f"key {kind}, item {name}, n_segments int, edits int, end bigint"
     items = benchmark.select(item, F.col(item_text).alias("t"))
-    found = [_found(rows, b, errors, schema) for b in _blocks(items, item, block_bytes)]
+    found = [_found(rows, b, errors, shift, schema) for b in _blocks(items, item, block_bytes)]
     none = docs.sparkSession.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, found, none).withColumnsRenamed({"key": key, "item": item})
 
@@ -270,9 +311,9 @@ def _blocks(items: DataFrame, item: str, block_bytes: int):
         yield items.filter(number == block).toArrow()
 
 
-def _found(rows: DataFrame, block: pa.Table, errors: float, schema: str) -> DataFrame:
+def _found(rows: DataFrame, block: pa.Table, errors: float, shift: int, schema: str) -> DataFrame:
     ids = block.column(0).combine_chunks()
-    index = build_index([normalised(t) for t in block.column(1).to_pylist()], errors)
+    index = build_index([normalised(t) for t in block.column(1).to_pylist()], errors, shift)
 
     def run(batches):
         for batch in batches:
@@ -296,16 +337,17 @@ def clean(
     item_text: str = "text",
     errors: float = ERRORS,
     block_bytes: int = BLOCK_BYTES,
+    shift: int = STEP,
 ) -> DataFrame:
     """The rows of ``docs`` in which no item is found; judged where they are read, without a join."""
     items = benchmark.select(item, F.col(item_text).alias("t"))
     for block in _blocks(items, item, block_bytes):
-        docs = docs.mapInArrow(_filter(docs.columns.index(text), block, errors), docs.schema)
+        docs = docs.mapInArrow(_filter(docs.columns.index(text), block, errors, shift), docs.schema)
     return docs
 
 
-def _filter(column: int, block: pa.Table, errors: float):
-    index = build_index([normalised(t) for t in block.column(1).to_pylist()], errors)
+def _filter(column: int, block: pa.Table, errors: float, shift: int):
+    index = build_index([normalised(t) for t in block.column(1).to_pylist()], errors, shift)
 
     def run(batches):
         for batch in batches:

@@ -102,3 +102,22 @@ def test_empty(spark, leaks):
     assert decontaminate.contaminated(documents(spark, []), items).count() == 0
     assert decontaminate.contaminated(docs, items.filter("false")).count() == 0
     assert decontaminate.clean(docs, items.filter("false")).count() == docs.count()
+
+
+def test_excerpts_at_every_offset(spark):
+    random.seed(3)
+    letters = "abcdefghijklmnoprstuvwy"
+    item = " ".join("".join(random.choices(letters, k=random.randint(2, 9))) for _ in range(45))
+    ends = [at for at in range(len(item) - 89) if " " not in (item[at], item[at + 89])]
+    assert len(item) > 240 and len(ends) > 90
+    texts = [f"{'zq xj ' * 9}{item[at : at + 90]}{' qz jx' * 9}" for at in ends]
+    docs = documents(spark, list(enumerate(texts)))
+    items = spark.createDataFrame([(0, item)], "item_id bigint, text string")
+    shift = decontaminate.SHIFT
+    assert decontaminate.contaminated(docs, items, shift=shift).count() == len(texts)
+    assert decontaminate.clean(docs, items, shift=shift).count() == 0
+    # What has a whole counted segment is reported by these alone.
+    index = decontaminate.build_index([item.encode()], shift=shift)
+    for row, _, n, edits, _ in decontaminate._in_batch(texts, index):
+        whole = plain([(0, texts[row])], [(0, item)])
+        assert (n, edits) == (whole[0][2:] if whole else (0, edits)) and edits <= 10
