@@ -214,9 +214,9 @@ def _aligned(
     return edits, ends
 
 
-def find(texts: list[bytes], index: Index) -> list[tuple[int, int, int, tuple]]:
+def find(texts: list[bytes], index: Index) -> list[tuple[int, int, set[int], tuple]]:
     """``(text, item, segments, (between, edits, end))`` of every item found in each of some texts:
-    how many of its counted segments, and the least edits of one with the end of its first such
+    which of its counted segments, and the least edits of one with the end of its first such
     place. ``between`` tells that only others are found, and then the best of these is given."""
     gap = _GAP * (int(index.budgets.max()) + 1)  # no alignment within a budget crosses it
     whole = np.frombuffer(gap.join(texts) + gap, np.uint8)
@@ -237,7 +237,7 @@ def find(texts: list[bytes], index: Index) -> list[tuple[int, int, int, tuple]]:
         if not between:
             known[0].add(s)
         known[1] = min(known[1], (between, e, end))
-    return [(t, item, len(k[0]), k[1]) for (t, item), k in found.items()]
+    return [(t, item, *k) for (t, item), k in found.items()]
 
 
 def _pieces(text: bytes) -> list[tuple[int, bytes]]:
@@ -250,15 +250,17 @@ def _pieces(text: bytes) -> list[tuple[int, bytes]]:
 
 def _in_batch(texts: list[str | None], index: Index) -> list[tuple[int, int, int, int, int]]:
     """``find`` over texts of any length, in groups of bounded size."""
-    out: list[tuple[int, int, int, tuple]] = []
+    best: dict[tuple[int, int], tuple[set[int], tuple]] = {}
     rows: list[tuple[int, int]] = []
     group: list[bytes] = []
     size = 0
 
     def flush() -> None:
-        for t, item, n, (between, e, end) in find(group, index):
+        for t, item, parts, (between, e, end) in find(group, index):
             row, start = rows[t]
-            out.append((row, item, n, (between, e, end + start)))
+            place = (between, e, end + start)
+            known = best.get((row, item), (set(), place))  # from earlier pieces of a long text
+            best[row, item] = (known[0] | parts, min(known[1], place))
 
     for row, text in enumerate(texts):
         for start, piece in _pieces(normalised(text)):
@@ -270,11 +272,7 @@ def _in_batch(texts: list[str | None], index: Index) -> list[tuple[int, int, int
                 rows, group, size = [], [], 0
     if group:
         flush()
-    best: dict[tuple[int, int], tuple[int, tuple]] = {}
-    for row, item, n, place in out:  # the pieces of a long text
-        known = best.get((row, item), (0, place))
-        best[row, item] = (max(known[0], n), min(known[1], place))
-    return [(*pair, n, *place[1:]) for pair, (n, place) in sorted(best.items())]
+    return [(*pair, len(parts), *place[1:]) for pair, (parts, place) in sorted(best.items())]
 
 
 def contaminated(
@@ -288,8 +286,8 @@ def contaminated(
     block_bytes: int = BLOCK_BYTES,
     shift: int = STEP,
 ) -> DataFrame:
-    """One row per row of ``docs`` and item found in it: key, item, ``n_segments`` found (of one
-    piece of a very long text the most), ``edits`` of the best one, and where that ends in the
+    """One row per row of ``docs`` and item found in it: key, item, ``n_segments`` found,
+    ``edits`` of the best one, and where that ends in the
     normalised text (``end``). A passage that holds only segments between the counted ones has 0
     ``n_segments``, and ``edits`` and ``end`` of the best of those."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))

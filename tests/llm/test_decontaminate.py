@@ -121,3 +121,14 @@ def test_excerpts_at_every_offset(spark):
     for row, _, n, edits, _ in decontaminate._in_batch(texts, index):
         whole = plain([(0, texts[row])], [(0, item)])
         assert (n, edits) == (whole[0][2:] if whole else (0, edits)) and edits <= 10
+
+
+def test_segments_of_all_pieces_are_counted(monkeypatch):
+    random.seed(5)
+    item = " ".join("".join(random.choices("abcdefghiklmnoprstuvwy", k=6)) for _ in range(60))
+    text = f"{item[:200]}{' zqxj' * 400} {item[200:]}{' qzjx' * 400} {item[100:300]}"
+    index = decontaminate.build_index([item.encode()])
+    ((_, _, n, edits, end),) = decontaminate._in_batch([text], index)
+    assert n == len(index.items) and edits == 0
+    monkeypatch.setattr(decontaminate, "GROUP_BYTES", 700)
+    assert decontaminate._in_batch([text], index) == [(0, 0, n, edits, end)]
