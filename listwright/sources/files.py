@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import and_
 
@@ -210,13 +211,15 @@ def scan_parquet(
 ) -> DataFrame:
     """Name column of Parquet files; only that column is read.
 
-    With ``skip_unreadable`` broken files are passed over; ``quarantine_parquet`` lists them. Unless ``same_schema``, each file has a name column of its own: see ``_by_file``.
+    With ``skip_unreadable`` files without a readable footer are passed over, which takes a pass over
+    all footers; ``quarantine_parquet`` lists them. Any other read error ends the scan. Unless ``same_schema``, each file has a name column of its own: see ``_by_file``.
     """
     names = [paths] if isinstance(paths, str) else paths
     options = {"mergeSchema": skip_unreadable or not same_schema, **_glob_options(globs)}
     if skip_unreadable:
-        options["ignoreCorruptFiles"] = True
-    table = spark.read.options(**options).parquet(*names)
+        table = _readable_parquet(spark, names, options)
+    else:
+        table = spark.read.options(**options).parquet(*names)
     if column is None and not same_schema and len(table.columns) > 1:
         return _by_file(table, source, F.col("_metadata.row_index"))
     chosen = column or pick_name_column(table)
@@ -229,6 +232,25 @@ def scan_parquet(
     )
 
 
+def _readable_parquet(
+    spark: SparkSession, names: list[str], options: dict[str, str | bool]
+) -> DataFrame:
+    """The files whose footer can be read, whole: corrupt files are ignored only while nothing but
+    footers is read, so no file loses rows without an error."""
+    footers = spark.read.options(**options, ignoreCorruptFiles=True).parquet(*names)
+    rows = footers.select(F.col("_metadata.file_path").alias("file")).distinct().collect()
+    # Listings and scans write a scheme's slashes differently.
+    listed = {re.sub(r"^([a-zA-Z0-9+.-]+):/+", r"\1:/", f): f for f in footers.inputFiles()}
+    read = {re.sub(r"^([a-zA-Z0-9+.-]+):/+", r"\1:/", row["file"]) for row in rows}
+    if not read <= listed.keys():
+        raise ValueError(f"files read that are not listed: {sorted(read - listed.keys())[:3]}")
+    lost = sorted({form for f in listed.keys() - read for form in (f, listed[f])})
+    strict = spark.read.options(**options, ignoreCorruptFiles=False).schema(footers.schema)
+    table = strict.parquet(*names)
+    # Spark leaves these out of the listing and never opens them.
+    return table.where(~F.col("_metadata.file_path").isin(lost)) if lost else table
+
+
 def quarantine_parquet(manifest: DataFrame, scanned: DataFrame) -> DataFrame:
     """Parquet files of a manifest that no scanned row comes from: broken or without rows.
 

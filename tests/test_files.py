@@ -1,5 +1,7 @@
 import json
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,6 +170,24 @@ def test_unreadable_files_go_to_quarantine(spark, tmp_path):
     assert sorted(r.reason for r in dropped.collect()) == ["file left out", "too many fields"]
 
 
+def test_partly_readable_parquet_is_not_cut_short(spark, tmp_path):
+    folder = tmp_path / "s"
+    folder.mkdir()
+    names = pa.table({"name": [f"name {i}" for i in range(3000)]})
+    for file in ("a b+%41.parquet", "c.parquet"):
+        pq.write_table(names, folder / file, row_group_size=1000, use_dictionary=False)
+    (folder / "bad [1] +.parquet").write_text("no table")
+    scanned = files.scan_source(spark, str(tmp_path), "s")
+    assert scanned.groupBy("file").count().agg(F.collect_list("count")).first()[0] == [3000, 3000]
+    column = pq.ParquetFile(folder / "c.parquet").metadata.row_group(1).column(0)
+    broken = bytearray((folder / "c.parquet").read_bytes())
+    start = column.data_page_offset
+    broken[start : start + column.total_compressed_size] = b"\xff" * column.total_compressed_size
+    (folder / "c.parquet").write_bytes(broken)
+    with pytest.raises(Exception, match="c.parquet"):
+        files.scan_source(spark, str(tmp_path), "s").collect()
+
+
 def test_merge_lists(spark, tmp_path):
     write(tmp_path, z_list="Zoe\nAnn!\nbob\n", a_list="Bob\nEve\n")
     merged = sources.merge_lists(spark, [str(tmp_path / "z_list"), str(tmp_path / "a_list")], "s")
