@@ -138,5 +138,77 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), ''))
          AS kept_sha256
 FROM marked GROUP BY doc_id
+""",
+    "op12_mixture": r"""
+WITH RECURSIVE sized AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_id, doc_id, source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         ('0x' || substr(md5(concat_ws('|', 'mix', doc_id, md5(coalesce(text, '')))), 1, 10))::BIGINT
+           AS hash
+  FROM documents
+), sources AS MATERIALIZED (
+  SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::BIGINT AS most,
+         row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS number,
+         [5, 2, 1][(row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1] AS weight,
+         (sum(sum(size)) OVER ())::BIGINT AS total
+  FROM sized GROUP BY source
+), shared AS (
+  SELECT 0 AS round, number, weight, most, total, false AS topped, true AS changed FROM sources
+  UNION ALL
+  SELECT round + 1, number, weight, most, total, now_topped, bool_or(now_topped <> topped) OVER ()
+  FROM (
+    SELECT *, topped OR (total - coalesce(sum(most) FILTER (topped) OVER (), 0))::BIGINT
+        / (sum(weight) FILTER (NOT topped) OVER ())::BIGINT * weight > most AS now_topped
+    FROM shared WHERE changed)
+), rests AS (
+  SELECT *, (total - coalesce(sum(most) FILTER (topped) OVER (), 0))::BIGINT
+      / (sum(weight) FILTER (NOT topped) OVER ())::BIGINT * weight AS share
+  FROM (SELECT * FROM shared WHERE round = (SELECT max(round) FROM shared))
+), targets AS MATERIALIZED (
+  SELECT s.*, CASE WHEN r.topped OR s.total = 0 THEN s.most::DOUBLE ELSE r.share END AS target,
+         (source_size + 63) // 64 AS n_blocks,
+         ceil(sqrt((sum((source_size + 63) // 64) OVER ())::DOUBLE))::BIGINT AS per_shard,
+         (s.total + 32) // 64 AS seats
+  FROM sources s JOIN rests r USING (number)
+), of_sources AS MATERIALIZED (
+  SELECT number, count(*) AS seats FROM (
+    SELECT number, seats, row_number() OVER (ORDER BY target / (2 * n + 1) DESC, number) AS place
+    FROM (SELECT *, unnest(range(seats)) AS n FROM targets WHERE target > 0)
+  ) WHERE place <= seats GROUP BY number
+), shards AS MATERIALIZED (
+  SELECT number, source, shard, least(per_shard, n_blocks - shard * per_shard) AS blocks,
+         shard * per_shard AS first, least(coalesce(q.seats, 0), 3 * n_blocks) AS of_source
+  FROM (SELECT *, unnest(range((n_blocks + per_shard - 1) // per_shard)) AS shard FROM targets
+        WHERE n_blocks > 0) t LEFT JOIN of_sources q USING (number)
+), of_shards AS MATERIALIZED (
+  SELECT number, shard, count(*) AS quota FROM (
+    SELECT number, shard, of_source, row_number() OVER (
+      PARTITION BY number ORDER BY blocks / (2 * n + 1) DESC, shard) AS place
+    FROM (SELECT *, unnest(range(of_source)) AS n FROM shards)
+  ) WHERE place <= of_source GROUP BY number, shard
+), blocks AS MATERIALIZED (
+  SELECT number, block, quota // blocks + (row_number() OVER (
+           PARTITION BY number, shard ORDER BY hash, block) <= quota % blocks)::BIGINT AS copies
+  FROM (
+    SELECT number, shard, blocks, block, coalesce(quota, 0) AS quota,
+      ('0x' || substr(md5('mix|' || coalesce('s' || source, 'n') || '|' || block), 1, 10))::BIGINT
+        AS hash
+    FROM (SELECT *, unnest(range(first, first + blocks)) AS block FROM shards)
+    LEFT JOIN of_shards USING (number, shard))
+), placed AS MATERIALIZED (
+  SELECT d.*, number, source_size, target, coalesce(sum(size) OVER (
+      PARTITION BY number
+      ORDER BY hash % greatest(1, (n_blocks + per_shard - 1) // per_shard), hash,
+               doc_id NULLS FIRST, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begins
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), taken AS (
+  SELECT row_id, sum((least(begins + size, 64 * block + 64) - greatest(begins, 64 * block)) * copies) AS taken
+  FROM (SELECT *, unnest(range(begins // 64, (begins + size - 1) // 64 + 1)) AS block
+        FROM placed WHERE size > 0)
+  JOIN blocks USING (number, block) GROUP BY row_id
+)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
+FROM placed LEFT JOIN taken USING (row_id)
 """,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listwright.llm import bpe, decontaminate, importance, line_dedup, quality, repair, simhash, suffix_runs, url_lists, warc
+from listwright.llm import bpe, decontaminate, importance, line_dedup, mixture, quality, repair, simhash, suffix_runs, url_lists, warc
 from listwright.storage import fresh_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -76,6 +76,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixture.mixed(_table(spark, sf_dir, "documents"))
+    return mix.select(
+        "doc_id", "size", "source_size", "target", mixture.words_taken(F.col("spans")).alias("taken")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_url_lists": op2_url_lists,
@@ -87,4 +94,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_trie": op8_bpe_trie,
     "op9_suffix_runs": op9_suffix_runs,
     "op10_simhash": op10_simhash,
+    "op12_mixture": op12_mixture,
 }
