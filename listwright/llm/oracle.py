@@ -210,5 +210,56 @@ WITH RECURSIVE sized AS MATERIALIZED (
 )
 SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken
 FROM placed LEFT JOIN taken USING (row_id)
+""",
+    "op13_prefix_trie": r"""
+WITH crc_table AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda n: list_reduce(
+    list_prepend(n, range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS t
+), turns AS MATERIALIZED (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           sha256(octet_length(encode(coalesce(role, ''))) || ' ' || coalesce(role, '')
+             || coalesce(text, ''))) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS MATERIALIZED (
+  SELECT conv_id, conv_id - conv_id % 5 AS first, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(length(name)), lambda i: ascii(name[i + 1])::BIGINT)),
+    lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1]))) % 9 AS h
+  FROM (SELECT DISTINCT conv_id, conv_id::VARCHAR AS name FROM turns), crc_table
+), remade AS (
+  SELECT c.conv_id, 0 AS part, place, role, text
+  FROM convs c JOIN turns t ON t.conv_id = c.first AND t.place < c.h
+  UNION ALL
+  SELECT c.conv_id, 1, place, role, text
+  FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place >= c.h
+), prefixes AS MATERIALIZED (
+  SELECT conv_id, 0 AS depth, []::VARCHAR[] AS prefix, 0 AS size FROM convs
+  UNION ALL
+  SELECT conv_id, row_number() OVER one, list(md5(role) || md5(text)) OVER one,
+         octet_length(encode(text))
+  FROM remade WINDOW one AS (PARTITION BY conv_id ORDER BY part, place
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), lasts AS (SELECT conv_id, max(depth) AS depth FROM prefixes GROUP BY conv_id
+), nodes AS MATERIALIZED (
+  SELECT p.depth, prefix, min(p.conv_id) AS conv_id, count(*) AS n_convs, max(size) AS size,
+         sha256(coalesce(string_agg(l.conv_id::VARCHAR, ',' ORDER BY l.conv_id), '')) AS ends_sha256
+  FROM prefixes p LEFT JOIN lasts l ON p.conv_id = l.conv_id AND p.depth = l.depth
+  GROUP BY p.depth, prefix
+), linked AS MATERIALIZED (
+  SELECT n.*, up.conv_id AS parent_conv_id, coalesce(n_children, 0) AS n_children
+  FROM nodes n LEFT JOIN nodes up ON up.depth = n.depth - 1 AND up.prefix = n.prefix[:n.depth - 1]
+  LEFT JOIN (SELECT depth - 1 AS depth, prefix[:depth - 1] AS prefix, count(*) AS n_children
+             FROM nodes WHERE depth > 0 GROUP BY 1, 2) c
+    ON c.depth = n.depth AND c.prefix = n.prefix
+), sums AS (
+  SELECT p.depth, p.prefix, count(*) FILTER (n_children = 0) AS n_leaves,
+         sum((n_convs - 1) * n.size)::BIGINT AS saved_tokens
+  FROM linked n JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth <= n.depth
+  GROUP BY p.depth, p.prefix
+)
+SELECT conv_id, n.depth::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens,
+       ends_sha256
+FROM linked n JOIN sums s ON n.depth = s.depth AND n.prefix = s.prefix
 """,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listwright.llm import bpe, decontaminate, importance, line_dedup, mixture, quality, repair, simhash, suffix_runs, url_lists, warc
+from listwright.llm import bpe, decontaminate, importance, line_dedup, mixture, prefix_trie, quality, repair, simhash, suffix_runs, url_lists, warc
 from listwright.storage import fresh_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -83,6 +83,11 @@ def op12_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return prefix_trie.prefix_nodes(prefix_trie.rebuilt(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_url_lists": op2_url_lists,
@@ -95,4 +100,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_runs": op9_suffix_runs,
     "op10_simhash": op10_simhash,
     "op12_mixture": op12_mixture,
+    "op13_prefix_trie": op13_prefix_trie,
 }
