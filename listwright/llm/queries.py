@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listwright.llm import bpe, decontaminate, importance, line_dedup, mixture, prefix_trie, quality, repair, simhash, suffix_runs, url_lists, warc
+from listwright.llm import (
+    alignment, bpe, decontaminate, importance, line_dedup, mixture, prefix_trie, quality, repair,
+    simhash, suffix_runs, url_lists, warc,
+)
 from listwright.storage import fresh_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +80,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, _ = alignment.aligned(_table(spark, sf_dir, "documents"), VOCABULARY, PIECES)
+    return docs
+
+
 def op12_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixture.mixed(_table(spark, sf_dir, "documents"))
     return mix.select(
@@ -99,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_trie": op8_bpe_trie,
     "op9_suffix_runs": op9_suffix_runs,
     "op10_simhash": op10_simhash,
+    "op11_alignment": op11_alignment,
     "op12_mixture": op12_mixture,
     "op13_prefix_trie": op13_prefix_trie,
 }
