@@ -9,7 +9,7 @@ where both sides end close a group.
 Links are counted per block of documents by a grouped table, and the counts of a block's distinct id
 pairs are added up by Spark. A pair occurs at most once a block, so no pair is hot. The totals go back
 to the block that holds the pair, sorted before the block's links, which are numbers of its pairs; so
-what moves is four bytes a link and one row per block and pair, and a task holds one block at a time.
+what moves is a compressed number a link and one row per block and pair, and a task holds one block at a time.
 
 Special tokens are plain text. Null and empty texts, and texts that one of the tokenizers does not
 give back byte for byte, have no tokens: zeros and an empty digest. Repeated rows are aligned and
@@ -40,8 +40,8 @@ from listwright.llm.words import PATTERN, byte_alphabet
 from listwright.storage import stored
 
 # Texts tokenized together, and the links from which on a block is closed; neither changes results.
-GROUP_CHARS = 2_000_000
-BLOCK_LINKS = 4_000_000
+GROUP_CHARS = 300_000
+BLOCK_LINKS = 2_000_000
 # Longer runs of white space are left to the slower library, whose pattern does not go deeper with them.
 _LONG_SPACE = re.compile(r"\s{500}")
 SPACE_MARK = "▁"
@@ -232,7 +232,7 @@ def _blocks(
                 "n_b": _row(pc.cast(g.n_b, pa.int64())), "n_groups": _row(pa.array(g.n_groups)),
                 "n_links": _row(pa.array(g.n_links)),
                 "groups_sha256": _row(pa.array(g.digests, pa.string())),
-                "links": pa.array([numbers.tobytes()], pa.binary()),
+                "links": pa.array([pa.compress(numbers, "zstd", asbytes=True)], pa.binary()),
             }, 1, key)
 
     kind = docs.schema["key"].dataType.simpleString()
@@ -323,8 +323,10 @@ def _summed(batches) -> Iterator[pa.RecordBatch]:
                 totals = np.concatenate([np.zeros(0, np.int64), *total])
                 bests = np.concatenate([np.zeros(0, bool), *best]).astype(np.int64)
                 open_ = False
-            links = np.frombuffer(run.column("links")[0].as_buffer(), "<i4")
             n_links = run.column("n_links")[0].values
+            size = 4 * pc.sum(n_links, min_count=0).as_py()
+            links = pa.decompress(run.column("links")[0].as_buffer(), size, "zstd")
+            links = np.frombuffer(links, "<i4")
             ends = np.concatenate([[0], np.cumsum(n_links.to_numpy())])
             running = (np.concatenate([[0], np.cumsum(v[links])]) for v in (bests, totals))
             sums = [np.diff(values[ends]) for values in running]
