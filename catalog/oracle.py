@@ -120,6 +120,8 @@ for _key in ("scan_csv", "scan_tsv", "scan_json", "scan_parquet"):
     ORACLE[_key] = """SELECT 'events' AS source, props AS original, count(*) AS n
       FROM events GROUP BY ALL"""
 
+ORACLE["scan_csv_records"] = """SELECT 'documents' AS source, text AS original, count(*) AS n
+  FROM documents GROUP BY ALL"""
 ORACLE["scan_source"] = """SELECT 'all' AS source, ext_rank, original, count(*) AS n FROM (
     SELECT 1 AS ext_rank, props AS original FROM events UNION ALL SELECT 2, n_name FROM nation
     UNION ALL SELECT 4, c_name FROM customer UNION ALL SELECT 4, p_name FROM part)

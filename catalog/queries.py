@@ -66,6 +66,15 @@ def scan_csv(spark, sf):
     return _counted(files.scan_delimited(spark, path, "events"))
 
 
+@query
+def scan_csv_records(spark, sf):
+    """Texts with line breaks as quoted cells of CSV files that many tasks read together."""
+    path = fresh_path(spark, "csv-records")
+    docs = b.table(spark, sf, "documents").select("doc_id", F.col("text").alias("name"), "source")
+    docs.write.options(header=True, escape='"', quoteAll=True).csv(path)
+    return _counted(files.scan_delimited(spark, path, "documents", multi_line=True))
+
+
 @query
 def scan_tsv(spark, sf):
     path = fresh_path(spark, "tsv")

@@ -14,6 +14,7 @@ from listwright.functions import pick_name_column
 from listwright.functions.filters import NAME_COLUMNS
 from listwright.functions._columns import ColumnOrName, as_column
 from listwright.sources.lines import FILE_PLACE, scan_lines, scan_raw_lines, to_text
+from listwright.sources.records import scan_cells
 from listwright.sources.manifest import (
     extension_rank,
     find_data_files,
@@ -46,9 +47,15 @@ def scan_delimited(
     out; with ``strict`` the whole file that holds it is. See ``quarantine_delimited``.
     All files have the header of the first one; with ``same_header=False`` a pass over the text
     looks for the header of each file.
-    ``multi_line`` is for quoted cells that hold line breaks; each file is then read by one task.
+    ``multi_line`` is for quoted cells that hold line breaks: see ``records``. Each file then has a
+    header of its own, whatever ``same_header``.
     """
-    options = {"multiLine": multi_line, "header": header}
+    if multi_line:
+        rows = scan_cells(spark, paths, source, sep, header, column, **globs)
+        good = rows.where("NOT surplus").drop("surplus", "raw")
+        bad_files = rows.where("surplus").select("file").distinct()
+        return good.join(bad_files, "file", "left_anti").select(good.columns) if strict else good
+    options = {"header": header}
     scans = []
     for table in _delimited_tables(spark, paths, sep, header and not same_header, options, globs):
         chosen = column or pick_name_column(table.drop(SURPLUS, RAW))
@@ -75,13 +82,17 @@ def quarantine_delimited(
 ) -> DataFrame:
     """The rows with too many cells, as quarantine rows; with ``strict`` also, once, each file
     that such a row keeps from being read."""
-    options = {"multiLine": multi_line, "header": header}
-    scans = []
-    for table in _delimited_tables(spark, paths, sep, header and not same_header, options, globs):
-        cells = [_quoted(c) for c in table.columns if c != RAW]
-        raw = F.coalesce(F.col(RAW), F.concat_ws(sep, *cells))
-        scans.append(_placed(table.where(F.col(SURPLUS).isNotNull()), raw, source))
-    rows = _union(scans)
+    if multi_line:
+        rows = scan_cells(spark, paths, source, sep, header, **globs).where("surplus")
+        rows = rows.withColumn("original", F.col("raw"))
+    else:
+        options, scans = {"header": header}, []
+        tables = _delimited_tables(spark, paths, sep, header and not same_header, options, globs)
+        for table in tables:
+            cells = [_quoted(c) for c in table.columns if c != RAW]
+            raw = F.coalesce(F.col(RAW), F.concat_ws(sep, *cells))
+            scans.append(_placed(table.where(F.col(SURPLUS).isNotNull()), raw, source))
+        rows = _union(scans)
     found = rows.select(*_quarantine_row("line_no", "read", "too many fields", "original"))
     if not strict:
         return found
