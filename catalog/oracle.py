@@ -131,8 +131,14 @@ ORACLE["scan_plain"] = """SELECT 'all' AS source, 0 AS ext_rank, c_name AS origi
 ORACLE["validate_files"] = f"""WITH {MANIFEST} SELECT path, true AS valid FROM manifest
   UNION SELECT path || 'x', false FROM manifest
   UNION SELECT array_to_string(string_split(path, '/')[:4], '/'), true FROM manifest"""
-ORACLE["binary_flags"] = """SELECT '.txt' AS ext, false AS is_binary, false AS by_name,
-    false AS by_content UNION ALL SELECT '.parquet', true, false, true"""
+ORACLE["binary_flags"] = """SELECT source, ext, is_binary, by_name, by_content, 1::BIGINT AS n
+  FROM (SELECT DISTINCT source FROM documents), (VALUES ('.txt', false, false, false),
+    ('.parquet', true, false, true), ('.gz', true, true, true), ('.gz', true, true, NULL))
+    AS kinds(ext, is_binary, by_name, by_content)"""
+ORACLE["listed_files"] = """SELECT 'source=' || source AS folder, 0 AS depth, '' AS name, ext, hidden,
+    false AS empty, 1::BIGINT AS n FROM (SELECT DISTINCT source FROM documents),
+    (VALUES ('.txt', false), ('.crc', true)) AS kinds(ext, hidden)
+  UNION ALL VALUES ('', -1, '_SUCCESS', '', true, true, 1), ('', -1, '._SUCCESS.crc', '.crc', true, false, 1)"""
 
 _QUARANTINE = f"""{MANIFEST}, {SENTENCES}, {EMAILS}, quarantine AS (
   SELECT source, path AS file, CAST(NULL AS BIGINT) AS line_no, 'read' AS phase,

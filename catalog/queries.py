@@ -16,6 +16,7 @@ from listwright.plans import manifest_plan as file_plan
 from listwright.sinks import write_chunks, write_kinds, write_table
 from listwright.sources import files, manifest
 from listwright.sources import lines as sources
+from listwright.sources.listing import is_hidden
 from listwright.sources.registry import check_registry
 from listwright.storage import fresh_path
 
@@ -130,13 +131,34 @@ def validate_files(spark, sf):
 
 @query
 def binary_flags(spark, sf):
-    """Which tests call written text files and tables binary, by extension."""
+    """Which test calls written files binary: texts, tables, packed texts, and ones too large to open."""
     root = fresh_path(spark, "binary")
-    b.table(spark, sf, "documents").select("text").write.text(f"{root}/texts")
-    b.table(spark, sf, "documents").write.parquet(f"{root}/tables")
-    flags = manifest.binary_flags(spark, root, below=None, probe=None)
+    texts = b.table(spark, sf, "documents").select("source", "text").repartition("source")
+    texts.write.partitionBy("source").text(f"{root}/texts")
+    texts.write.partitionBy("source").parquet(f"{root}/tables")
+    texts.write.partitionBy("source").option("compression", "gzip").text(f"{root}/packed")
+    opened = manifest.binary_flags(spark, root, below=None)
+    by_name = manifest.binary_flags(spark, f"{root}/packed", below=1)
     ext = F.regexp_extract("path", r"(\.[a-z]+)$", 1).alias("ext")
-    return flags.select(ext, "is_binary", "by_name", "by_content").distinct()
+    source = F.regexp_extract("path", r"/source=([^/]+)/", 1).alias("source")
+    flags = opened.unionByName(by_name).select(source, ext, "is_binary", "by_name", "by_content")
+    return flags.where("source <> '' AND ext <> '.crc'").groupBy(flags.columns).agg(F.count("*").alias("n"))
+
+
+@query
+def listed_files(spark, sf):
+    """What lies in the folder of each source that was written: files, and Spark's own hidden and
+    empty ones."""
+    root = fresh_path(spark, "listed")
+    texts = b.table(spark, sf, "documents").select("source", "text").repartition("source")
+    texts.write.partitionBy("source").text(root)
+    listed = manifest.scan_manifest(spark, root)
+    kinds = listed.select(
+        F.when(F.contains("source", F.lit("=")), F.col("source")).otherwise("").alias("folder"),
+        "depth", F.when(F.contains("name", F.lit("SUCCESS")), F.col("name")).otherwise("").alias("name"),
+        "ext", is_hidden().alias("hidden"), (F.col("length") == 0).alias("empty"),
+    )
+    return kinds.groupBy(kinds.columns).agg(F.count("*").alias("n"))
 
 
 def _counted(scanned):

@@ -14,13 +14,14 @@ from listwright.functions import pick_name_column
 from listwright.functions.filters import NAME_COLUMNS
 from listwright.functions._columns import ColumnOrName, as_column
 from listwright.sources.lines import FILE_PLACE, scan_lines, scan_raw_lines, to_text
-from listwright.sources.records import scan_cells
+from listwright.sources.listing import is_hidden
 from listwright.sources.manifest import (
     extension_rank,
     find_data_files,
     is_readable_extension,
     scan_manifest,
 )
+from listwright.sources.records import scan_cells
 
 SOURCE_PLACE = ("ext_rank", *FILE_PLACE)
 QUARANTINE_COLUMNS = ("source", "file", "line_no", "phase", "reason", "raw")
@@ -332,7 +333,7 @@ def scan_source(
     of one format may have different columns. ``multi_line`` is that of the CSV scan.
     """
     folder = f"{root.rstrip('/')}/{slug}"
-    found = find_data_files(scan_manifest(spark, root, slug))
+    found = find_data_files(scan_manifest(spark, root, slug).where(~is_hidden()))
     present = {row["ext"]: row["listed"] for row in _formats(found).collect()}
     readers = {
         ".csv": lambda **g: scan_delimited(
@@ -371,13 +372,15 @@ def _formats(found: DataFrame) -> DataFrame:
 
 
 def quarantine_manifest(manifest: DataFrame) -> DataFrame:
-    """Files no reader takes, as quarantine rows."""
-    return manifest.where(~is_readable_extension("ext")).select(
+    """Files no reader takes, as quarantine rows: of other formats, or hidden."""
+    hidden = is_readable_extension("ext") & is_hidden()
+    reason = F.when(hidden, "hidden file").otherwise("unsupported format")
+    return manifest.where(~is_readable_extension("ext") | hidden).select(
         "source",
         F.col("path").alias("file"),
         F.lit(None).cast("long").alias("line_no"),
         F.lit("read").alias("phase"),
-        F.lit("unsupported format").alias("reason"),
+        reason.alias("reason"),
         F.col("name").alias("raw"),
     )
 

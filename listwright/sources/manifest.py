@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from listwright.functions import is_binary_content, is_binary_extension, is_data_file, path_parts
 from listwright.functions._columns import ColumnOrName, as_column
 from listwright.functions.paths import DATA_EXTENSIONS, LINE_EXTENSIONS, VALID_EXTENSIONS
+from listwright.sources.listing import list_files, with_first_bytes
 
 # Files of this size and above are judged by their name alone, and the bytes of
 # the others that are looked at.
@@ -20,15 +21,10 @@ def scan_manifest(spark: SparkSession, root: str, source: str | None = None) ->
     ``(source, path, name, stem, ext, depth, length, modificationTime)``.
 
     The source is the first folder below the root, the depth counts folders below it.
-    File contents are not read. Spark does not list empty files, hidden ones, and ones whose
-    name starts with an underscore.
+    File contents are not read. Empty files are listed, and so are hidden ones, which no scan reads:
+    see ``is_hidden``.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(f"{root.rstrip('/')}/{source}" if source else root)
-        .select("path", "length", "modificationTime")
-    )
+    files = list_files(spark, f"{root.rstrip('/')}/{source}" if source else root)
     inner = _below(F.col("path"), root)
     return manifest_of(
         files, "path", F.substring_index(inner, "/", 1), F.size(F.split(inner, "/")) - 2
@@ -106,13 +102,14 @@ def binary_flags(
 
     Files of ``below`` bytes and more are not opened; their ``by_content`` is null, so that the
     caller sees which test decided. ``below=None`` opens all files, ``probe=None`` looks at
-    whole files. The size limit reaches the scan.
+    whole files. Of other files only the first ``probe`` bytes and one more are read.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    files = list_files(spark, root)
     by_name = is_binary_extension(path_parts("path")["ext"])
-    by_content = is_binary_content("content", probe or (1 << 31) - 8)
+    by_content = is_binary_content("head", probe or (1 << 31) - 8)
     opened = files if below is None else files.where(F.col("length") < below)
-    flags = opened.select("path", by_name.alias("by_name"), by_content.alias("by_content"))
+    heads = with_first_bytes(opened.select("path"), probe + 1 if probe else None)
+    flags = heads.select("path", by_name.alias("by_name"), by_content.alias("by_content"))
     if below is not None:
         large = files.where(F.col("length") >= below)
         unopened = F.lit(None).cast("boolean").alias("by_content")

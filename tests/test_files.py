@@ -237,9 +237,30 @@ def test_manifest(spark, tree):
     assert sorted(r.path.rsplit("/", 1)[1] for r in binary.collect()) == ["n.txt", "z.zip"]
 
 
-def test_binary_scan_pushes_the_size_limit(spark, tree):
-    plan = manifest.binary_flags(spark, str(tree))._jdf.queryExecution().toString()
-    assert "LessThan(length,5242880)" in plan
+def test_only_first_bytes_are_read(spark, tmp_path):
+    # A file of a terabyte without content takes no room, and no time if its first bytes are enough.
+    write(tmp_path, a__huge_dot_txt="", a___b_dot_csv="x", a__dot_dot_txt="text", _hid_dot_txt="t" * 2000)
+    with open(tmp_path / "a" / "huge.txt", "r+b") as file:
+        file.truncate(1 << 40)
+    flags = manifest.binary_flags(spark, str(tmp_path), below=None)
+    found = {r.path.rsplit("/", 1)[1]: (r.by_name, r.by_content) for r in flags.collect()}
+    assert found["huge.txt"] == (False, True)
+    assert found["_hid.txt"] == (False, False)
+    judged = manifest.binary_flags(spark, str(tmp_path)).where("by_content IS NULL").collect()
+    assert [r.path.rsplit("/", 1)[1] for r in judged] == ["huge.txt"]
+
+
+def test_hidden_and_empty_files_are_listed(spark, tmp_path):
+    write(tmp_path, s__a_dot_csv="name\nAnn\n", s__empty_dot_txt="", s__deep___x_dot_csv="name\nBob\n")
+    (tmp_path / "s" / ".hidden.csv").write_text("name\nCid\n")
+    listed = manifest.scan_manifest(spark, str(tmp_path))
+    names = {r["name"]: (r.source, r.depth, r.length) for r in listed.collect()}
+    assert names == {
+        "a.csv": ("s", 0, 9), "empty.txt": ("s", 0, 0), "_x.csv": ("s", 1, 9), ".hidden.csv": ("s", 0, 9),
+    }
+    bad = files.quarantine_manifest(listed).select("raw", "reason").collect()
+    assert sorted(map(tuple, bad)) == [(".hidden.csv", "hidden file"), ("_x.csv", "hidden file")]
+    assert values(files.scan_source(spark, str(tmp_path), "s")) == ["Ann"]
 
 
 def test_counts_of_the_manifest(spark, tree):
