@@ -124,7 +124,9 @@ ORACLE["scan_csv_records"] = """SELECT 'documents' AS source, text AS original,
   FROM documents GROUP BY ALL"""
 ORACLE["scan_source"] = """SELECT 'all' AS source, ext_rank, original, count(*) AS n FROM (
     SELECT 1 AS ext_rank, props AS original FROM events UNION ALL SELECT 2, n_name FROM nation
-    UNION ALL SELECT 4, c_name FROM customer UNION ALL SELECT 4, p_name FROM part)
+    UNION ALL SELECT 4, c_name FROM customer UNION ALL SELECT 4, p_name FROM part
+    UNION ALL SELECT 4, s_name FROM supplier UNION ALL SELECT 4, r_name FROM region
+    UNION ALL SELECT 3, n_name FROM nation)
   GROUP BY ALL"""
 ORACLE["scan_plain"] = """SELECT 'all' AS source, 0 AS ext_rank, c_name AS original
   FROM customer"""

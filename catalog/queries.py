@@ -98,7 +98,8 @@ def scan_parquet(spark, sf):
 
 @query
 def scan_source(spark, sf):
-    """One source with CSV, text and Parquet files, the Parquet files with different columns."""
+    """One source with CSV, text, JSON and Parquet files. Each file has a name column of its own: a
+    usual one, or its first, whatever the order of the same columns in other files."""
     root = fresh_path(spark, "mixed")
     events = _event_table(spark, sf).write.option("header", True).option("escape", '"')
     events.csv(f"{root}/all/csv")
@@ -107,6 +108,12 @@ def scan_source(spark, sf):
     customers.write.parquet(f"{root}/all/tables/customers")
     parts = b.table(spark, sf, "part").withColumnRenamed("p_name", "name")
     parts.write.parquet(f"{root}/all/tables/parts")
+    suppliers = b.table(spark, sf, "supplier").select(F.col("s_name").alias("zeta"), F.col("s_address").alias("beta"))
+    suppliers.write.parquet(f"{root}/all/tables/suppliers")
+    regions = b.table(spark, sf, "region").select(F.col("r_name").alias("beta"), F.col("r_comment").alias("zeta"))
+    regions.write.parquet(f"{root}/all/tables/regions")
+    nations = b.table(spark, sf, "nation").select(F.col("n_name").alias("zeta"), F.col("n_comment").alias("beta"))
+    nations.write.option("maxRecordsPerFile", 1).json(f"{root}/all/documents")
     scanned = files.scan_source(spark, root, "all")
     return scanned.groupBy("source", "ext_rank", "original").agg(F.count("*").alias("n"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import fnmatch
 from functools import reduce
 from operator import and_
 
@@ -14,7 +14,14 @@ from listwright.functions import pick_name_column
 from listwright.functions.filters import NAME_COLUMNS
 from listwright.functions._columns import ColumnOrName, as_column
 from listwright.sources.lines import FILE_PLACE, scan_lines, scan_raw_lines, to_text
-from listwright.sources.listing import is_hidden
+from listwright.sources.listing import (
+    is_hidden,
+    list_files,
+    plain_path,
+    scanned_forms,
+    with_first_bytes,
+    with_footers,
+)
 from listwright.sources.manifest import (
     extension_rank,
     find_data_files,
@@ -22,12 +29,15 @@ from listwright.sources.manifest import (
     scan_manifest,
 )
 from listwright.sources.records import scan_cells
+from listwright.storage import stored
 
 SOURCE_PLACE = ("ext_rank", *FILE_PLACE)
 QUARANTINE_COLUMNS = ("source", "file", "line_no", "phase", "reason", "raw")
 SURPLUS = "surplus_field"
 BROKEN = "broken_record"
 RAW = "raw_record"
+# The first key of a JSON file is looked for in this many bytes.
+_KEY_BYTES = 65_536
 
 
 def scan_delimited(
@@ -163,7 +173,8 @@ def scan_json(
         whole = [_quoted(c) for c in table.columns if c != BROKEN]
         table = table.where(F.col(BROKEN).isNull()).select(*whole, "_metadata")
     if column is None and not same_schema and len(table.columns) > 1:
-        return _by_file(table, source, F.monotonically_increasing_id())
+        firsts = _first_json_keys(spark, [paths] if isinstance(paths, str) else paths)
+        return _by_file(table, source, F.monotonically_increasing_id(), firsts)
     chosen = column or pick_name_column(table)
     if column is None and len(table.columns) > 1 and chosen == table.columns[0]:
         chosen = _first_json_key(spark, paths, globs) or chosen
@@ -223,44 +234,82 @@ def scan_parquet(
 ) -> DataFrame:
     """Name column of Parquet files; only that column is read.
 
-    With ``skip_unreadable`` files without a readable footer are passed over, which takes a pass over
-    all footers; ``quarantine_parquet`` lists them. Any other read error ends the scan. Unless ``same_schema``, each file has a name column of its own: see ``_by_file``.
+    Unless ``same_schema``, each file has a name column of its own, by its own columns in their
+    order, which a pass over all footers tells. With ``skip_unreadable`` that pass also finds files
+    without a readable footer, which are passed over; ``unreadable_parquet`` lists them. Any other
+    read error ends the scan.
     """
     names = [paths] if isinstance(paths, str) else paths
-    options = {"mergeSchema": skip_unreadable or not same_schema, **_glob_options(globs)}
-    if skip_unreadable:
-        table = _readable_parquet(spark, names, options)
-    else:
-        table = spark.read.options(**options).parquet(*names)
-    if column is None and not same_schema and len(table.columns) > 1:
-        return _by_file(table, source, F.col("_metadata.row_index"))
+    if skip_unreadable or not same_schema:
+        return _parquet_by_file(spark, names, source, column, skip_unreadable, globs)
+    table = spark.read.options(**_glob_options(globs)).parquet(*names)
     chosen = column or pick_name_column(table)
-    return table.select(
+    return table.select(*_parquet_place(source), to_text(table, _quoted(chosen)).alias("original"))
+
+
+def _parquet_place(source: str) -> list[Column]:
+    return [
         F.lit(source).alias("source"),
         F.col("_metadata.file_path").alias("file"),
         F.lit(0).cast("long").alias("block"),
         F.col("_metadata.row_index").alias("line_no"),
-        to_text(table, _quoted(chosen)).alias("original"),
-    )
+    ]
 
 
-def _readable_parquet(
-    spark: SparkSession, names: list[str], options: dict[str, str | bool]
+def _parquet_by_file(
+    spark: SparkSession,
+    names: list[str],
+    source: str,
+    column: str | None,
+    skip_unreadable: bool,
+    globs: dict[str, str | bool],
 ) -> DataFrame:
-    """The files whose footer can be read, whole: corrupt files are ignored only while nothing but
-    footers is read, so no file loses rows without an error."""
-    footers = spark.read.options(**options, ignoreCorruptFiles=True).parquet(*names)
-    rows = footers.select(F.col("_metadata.file_path").alias("file")).distinct().collect()
-    # Listings and scans write a scheme's slashes differently.
-    listed = {re.sub(r"^([a-zA-Z0-9+.-]+):/+", r"\1:/", f): f for f in footers.inputFiles()}
-    read = {re.sub(r"^([a-zA-Z0-9+.-]+):/+", r"\1:/", row["file"]) for row in rows}
-    if not read <= listed.keys():
-        raise ValueError(f"files read that are not listed: {sorted(read - listed.keys())[:3]}")
-    lost = sorted({form for f in listed.keys() - read for form in (f, listed[f])})
-    strict = spark.read.options(**options, ignoreCorruptFiles=False).schema(footers.schema)
-    table = strict.parquet(*names)
-    # Spark leaves these out of the listing and never opens them.
-    return table.where(~F.col("_metadata.file_path").isin(lost)) if lost else table
+    listed = _union([list_files(spark, name) for name in names]).select("path")
+    name = F.regexp_extract("path", r"[^/]*$", 0)
+    listed = listed.withColumn("name", name).where(~is_hidden())
+    if globs.get("pattern"):
+        listed = listed.where(F.col("name").rlike(fnmatch.translate(globs["pattern"])))
+    footers = stored(with_footers(listed), "footers")
+    usual = (F.when(F.array_contains("columns", c), F.lit(c)) for c in NAME_COLUMNS)
+    pick = F.lit(column) if column else F.coalesce(*usual, F.get("columns", F.lit(0)))
+    picks = footers.where("columns IS NOT NULL").select(_listed_path().alias("_path"), pick.alias("_pick"))
+    options = {"mergeSchema": True, **_glob_options(globs)}
+    schema = spark.read.options(**options, ignoreCorruptFiles=skip_unreadable).parquet(*names).schema
+    table = spark.read.options(**options, ignoreCorruptFiles=False).schema(schema).parquet(*names)
+    if skip_unreadable:
+        # Spark leaves these out of the listing and never opens them; there is one entry per broken
+        # file only.
+        broken = footers.where("columns IS NULL").select("path").collect()
+        lost = [form for row in broken for form in scanned_forms(row["path"])]
+        table = table.where(~F.col("_metadata.file_path").isin(lost)) if lost else table
+    # One entry per different name of a name column; no other column is read.
+    used = sorted(r["_pick"] for r in picks.select("_pick").distinct().collect())
+    texts = [to_text(table, _quoted(c)).alias(f"_{i}") for i, c in enumerate(used)]
+    rows = table.select(*_parquet_place(source), *texts)
+    if len(used) == 1:
+        return rows.withColumnRenamed("_0", "original")
+    rows = rows.withColumn("_path", plain_path(F.col("file"))).join(picks, "_path")
+    values = [F.when(F.col("_pick") == c, F.col(f"_{i}")) for i, c in enumerate(used)]
+    original = F.coalesce(*values) if values else F.lit(None).cast("string")
+    return rows.select("source", *FILE_PLACE, original.alias("original"))
+
+
+def _listed_path() -> Column:
+    return F.regexp_replace("path", r"^([a-zA-Z0-9+.-]+):/+", "$1:/")
+
+
+def unreadable_parquet(manifest: DataFrame) -> DataFrame:
+    """Parquet files of a manifest without a readable footer, as quarantine rows; nothing but
+    footers is read."""
+    tables = manifest.where((F.col("ext") == ".parquet") & ~is_hidden()).select("source", "path", "name")
+    return with_footers(tables).where("columns IS NULL").select(
+        "source",
+        F.col("path").alias("file"),
+        F.lit(None).cast("long").alias("line_no"),
+        F.lit("read").alias("phase"),
+        F.lit("no readable footer").alias("reason"),
+        F.col("name").alias("raw"),
+    )
 
 
 def quarantine_parquet(manifest: DataFrame, scanned: DataFrame) -> DataFrame:
@@ -268,13 +317,10 @@ def quarantine_parquet(manifest: DataFrame, scanned: DataFrame) -> DataFrame:
 
     ``scanned`` is a scan with ``skip_unreadable`` of the same files.
     """
-    tables = manifest.where(F.col("ext") == ".parquet")
-
-    def plain(path: str) -> Column:  # listings and scans write a scheme's slashes differently
-        return F.regexp_replace(path, r"^([a-zA-Z0-9+.-]+):/+", "$1:/").alias("_plain")
-
-    read = scanned.select("file").distinct().select(plain("file"))
-    unread = tables.withColumn("_plain", plain("path")).join(read, "_plain", "left_anti")
+    tables = manifest.where((F.col("ext") == ".parquet") & ~is_hidden())
+    tables = tables.withColumn("_plain", _listed_path())
+    read = scanned.select(plain_path(F.col("file")).alias("_plain")).distinct()
+    unread = tables.join(read, "_plain", "left_anti")
     return unread.select(
         "source",
         F.col("path").alias("file"),
@@ -285,13 +331,11 @@ def quarantine_parquet(manifest: DataFrame, scanned: DataFrame) -> DataFrame:
     )
 
 
-def _by_file(table: DataFrame, source: str, row_no: Column) -> DataFrame:
-    """Lines of files with different columns: of each file the first column with any value, the
-    usual name columns first, then the others in the order of the joint schema.
-
-    A column that a file lacks reads as null in it, just as one without values.
-    """
+def _by_file(table: DataFrame, source: str, row_no: Column, firsts: DataFrame) -> DataFrame:
+    """Lines of files with different columns: of each file the first usual name column with any
+    value, else its own first column, which ``firsts`` names by path."""
     names = [c for c in NAME_COLUMNS if c in table.columns]
+    n_usual = len(names)
     names += [c for c in table.columns if c not in names]
     rows = table.select(
         F.lit(source).alias("source"),
@@ -300,14 +344,30 @@ def _by_file(table: DataFrame, source: str, row_no: Column) -> DataFrame:
         row_no.alias("line_no"),
         *(to_text(table, _quoted(c)).alias(f"_{i}") for i, c in enumerate(names)),
     )
+    none = F.lit(None).cast("int")
     used = [F.when(F.bool_or(F.col(f"_{i}").isNotNull()), i) for i in range(len(names))]
-    picked = rows.groupBy("file").agg(F.coalesce(*used).alias("_pick"))
+    picked = rows.groupBy("file").agg(
+        F.coalesce(*used[:n_usual], none).alias("_usual"), F.coalesce(*used, none).alias("_any")
+    )
+    own = F.nullif(F.array_position(F.lit(names), F.col("_first")), F.lit(0)) - 1
+    picked = picked.withColumn("_path", plain_path(F.col("file"))).join(firsts, "_path", "left")
+    picked = picked.select("file", F.coalesce("_usual", own.cast("int"), "_any").alias("_pick"))
     values = [F.when(F.col("_pick") == i, F.col(f"_{i}")) for i in range(len(names))]
     return rows.join(picked, "file").select(
         "source", *FILE_PLACE, F.coalesce(*values).alias("original")
     )
 
 
+def _first_json_keys(spark: SparkSession, names: list[str]) -> DataFrame:
+    """``(_path, _first)``: the first key of each JSON file, from the beginning of the file."""
+    listed = _union([list_files(spark, name) for name in names]).select("path")
+    json = listed.where(F.lower("path").endswith(".json"))
+    heads = with_first_bytes(json, _KEY_BYTES)
+    text = F.make_valid_utf8(F.col("head").cast("string"))
+    key = F.regexp_extract(text, r'^\ufeff?[\s\[]*\{\s*"([^"\\]*)"\s*:', 1)
+    return heads.select(_listed_path().alias("_path"), key.alias("_first"))
+
+
 def scan_email_tables(spark: SparkSession, folder: str) -> DataFrame:
     """``(email, local_part, domain)`` of the Parquet files of a folder.
 
@@ -345,7 +405,7 @@ def scan_source(
             spark, folder, slug, same_schema=False, skip_unreadable=True, **g
         ),
         ".tsv": lambda **g: scan_delimited(
-            spark, folder, slug, sep="\t", strict=True, same_header=False, **g
+            spark, folder, slug, sep="\t", strict=True, same_header=False, multi_line=multi_line, **g
         ),
     }
     scans = [

@@ -9,11 +9,12 @@ must reach.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +47,10 @@ class FileReader(DataSourceReader):
 
     def partitions(self) -> list[Folder]:
         system, path, _ = _opened(self.root)
-        if system.get_file_info(path).type != pafs.FileType.Directory:
+        kind = system.get_file_info(path).type
+        if kind == pafs.FileType.File:
+            return [Folder(path, False)]
+        if kind != pafs.FileType.Directory:
             raise AnalysisException(
                 errorClass="PATH_NOT_FOUND", messageParameters={"path": self.root}
             )
@@ -58,7 +62,9 @@ class FileReader(DataSourceReader):
         system, _, before = _opened(self.root)
         waiting, rows = [partition.path], []
         while waiting:
-            for info in system.get_file_info(pafs.FileSelector(waiting.pop())):
+            here = system.get_file_info(waiting.pop())
+            alone = here.type == pafs.FileType.File
+            for info in [here] if alone else system.get_file_info(pafs.FileSelector(here.path)):
                 if info.type == pafs.FileType.Directory:
                     if partition.deep:
                         waiting.append(info.path)
@@ -96,19 +102,49 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def with_first_bytes(files: DataFrame, size: int | None, name: str = "head") -> DataFrame:
-    """Add the first ``size`` bytes of each file of a listing, or all of them; no more is read.
+    """Add the first ``size`` bytes of each file of a listing, or all of them; no more is read."""
 
-    Files are dealt out by their path, so that a folder with many files is opened by many tasks.
+    def head(system: pafs.FileSystem, path: str) -> bytes:
+        with system.open_input_file(path) as file:
+            return file.read(size)
+
+    return _looked_at(files, head, name, "binary")
+
+
+def with_footers(files: DataFrame, name: str = "columns") -> DataFrame:
+    """Add the names of the columns of each Parquet file, in its order; null if it has no footer.
+
+    A file that cannot be opened at all is an error.
     """
+
+    def columns(system: pafs.FileSystem, path: str) -> list[str] | None:
+        with system.open_input_file(path) as file:
+            if file.size() < 12 or file.read(4) != b"PAR1":
+                return None
+            file.seek(file.size() - 4)
+            if file.read(4) != b"PAR1":
+                return None
+            try:
+                return pq.ParquetFile(file).schema_arrow.names
+            except (pa.ArrowException, OSError):
+                return None
+
+    return _looked_at(files, columns, name, "array<string>")
+
+
+def _looked_at(files: DataFrame, look: Callable, name: str, kind: str) -> DataFrame:
+    """Add what ``look`` finds in each file. Files are dealt out by their path, so that a folder with
+    many files is opened by many tasks."""
     columns = files.columns
     at = columns.index("path")
+    arrow = {"binary": pa.binary(), "array<string>": pa.list_(pa.string())}
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         systems: dict[str, pafs.FileSystem] = {}
         for batch in batches:
             for start in range(0, len(batch), _BATCH):
                 part = batch.slice(start, _BATCH)
-                heads = []
+                found = []
                 for address in part.column(at).to_pylist():
                     parts = urlsplit(address)
                     place = f"{parts.scheme}://{parts.netloc}"
@@ -117,17 +153,31 @@ def with_first_bytes(files: DataFrame, size: int | None, name: str = "head") ->
                         path = address.removeprefix("file:")
                     else:
                         if place not in systems:
-                            systems[place] = pafs.FileSystem.from_uri(address)[0]
-                        system, path = systems[place], parts.netloc + parts.path
-                    with system.open_input_file(path) as file:
-                        heads.append(file.read(size))
-                arrays = [*part.columns, pa.array(heads, pa.binary())]
+                            systems[place] = pafs.FileSystem.from_uri(place)[0]
+                        system, path = systems[place], address.removeprefix(f"{parts.scheme}://")
+                    found.append(look(system, path))
+                arrays = [*part.columns, pa.array(found, arrow[kind])]
                 yield pa.RecordBatch.from_arrays(arrays, [*columns, name])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema)
-    return files.repartition("path").mapInArrow(run, f"{kinds}, `{name}` binary")
+    return files.repartition("path").mapInArrow(run, f"{kinds}, `{name}` {kind}")
 
 
 def is_hidden(name: str = "name") -> Column:
     """A name that Spark's readers pass over."""
     return F.col(name).startswith(".") | (F.col(name).startswith("_") & ~F.col(name).contains("="))
+
+
+def plain_path(path: Column) -> Column:
+    """One form of the addresses of listings and of scans, which escape characters."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, r"^([a-zA-Z0-9+.-]+):/+", "$1:/")
+
+
+def scanned_forms(path: str) -> list[str]:
+    """The addresses of a listed file as scans write it; listings by Spark have one slash."""
+    scheme, _, rest = path.partition(":")
+    legal = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-!.~'()*,;:$&+=/@")
+    escaped = "".join(c if c in legal or ord(c) > 127 else f"%{ord(c):02X}" for c in rest)
+    forms = [f"{scheme}:{escaped}"]
+    return [*forms, f"file://{escaped}"] if scheme == "file" else forms

@@ -170,6 +170,23 @@ def test_unreadable_files_go_to_quarantine(spark, tmp_path):
     assert sorted(r.reason for r in dropped.collect()) == ["file left out", "too many fields"]
 
 
+def test_each_file_has_a_column_of_its_own(spark, tmp_path):
+    folder = tmp_path / "s"
+    folder.mkdir()
+    for name, columns in (("a", ["zeta", "beta"]), ("b +%41é", ["beta", "zeta"]), ("c", ["x", "nick"]), ("d", ["x"])):
+        table = pa.table({c: pa.array([f"{name[0]}-{c}"]) for c in columns})
+        pq.write_table(table, folder / f"{name}.parquet")
+    pq.write_table(pa.table({"username": pa.array([None], pa.string()), "x": ["e"]}), folder / "e.parquet")
+    (folder / "bad é.parquet").write_text("PAR1 but no table PAR1")
+    (folder / "a.json").write_text('[{"zeta": "j1", "beta": "no"}]')
+    (folder / "b.json").write_text('[{"beta": "j2", "zeta": "no"}]')
+    scanned = files.scan_source(spark, str(tmp_path), "s").where("original IS NOT NULL")
+    want = ["a-zeta", "b-beta", "c-nick", "d-x", "j1", "j2"]
+    assert sorted(r.original for r in scanned.collect()) == want
+    lost = files.unreadable_parquet(manifest.scan_manifest(spark, str(tmp_path))).collect()
+    assert [(r.raw, r.reason) for r in lost] == [("bad é.parquet", "no readable footer")]
+
+
 def test_partly_readable_parquet_is_not_cut_short(spark, tmp_path):
     folder = tmp_path / "s"
     folder.mkdir()
