@@ -308,6 +308,11 @@ ORACLE["export_stats"] = f"""WITH {NAMES}, {EMAILS}, both_ AS (SELECT nick FROM
     (SELECT count(DISTINCT nick) FROM names) AS n_names,
     (SELECT count(*) FROM both_) AS n_combined"""
 
+ORACLE["export_estimates"] = f"""WITH {NAMES}, {EMAILS}
+  SELECT 'email' AS part, count(DISTINCT email) AS n, true AS near FROM emails
+  UNION ALL SELECT 'local_part', count(DISTINCT local_part), true FROM emails
+  UNION ALL SELECT 'name', count(DISTINCT nick), true FROM names"""
+
 # --- joins ---
 
 ORACLE["with_original"] = f"""WITH {NAMES}, {PARTIAL},
@@ -340,8 +345,8 @@ ORACLE["write_forced"] = f"""WITH {WORDS} SELECT false AS force, original, count
   UNION ALL SELECT true, original, count(*) FROM words WHERE contains(original, 'e') GROUP BY ALL"""
 ORACLE["split_fixed"] = f"""WITH {LINES}, placed AS (SELECT original AS value,
     row_number() OVER (ORDER BY file, line_no) - 1 AS ord FROM lines)
-  SELECT format('chunk_{{:03d}}.txt', ord // 1000 + 1) AS chunk_file, value, count(*) AS n
-  FROM placed GROUP BY ALL"""
+  SELECT format('chunk_{{:03d}}.txt', ord // 1000 + 1) AS chunk_file, ord % 1000 AS line, value
+  FROM placed"""
 ORACLE["split_comma"] = f"""WITH {NUMBERED}
   SELECT format('chunk_{{:03d}}.txt', ord // 1000 + 1) AS chunk_file, ord,
     CASE WHEN ord < n - 1 THEN nick || ',' ELSE rtrim(nick, ',') END AS line FROM numbered"""

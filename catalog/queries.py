@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalog import bindings as b
@@ -18,7 +18,7 @@ from listwright.sources import files, manifest
 from listwright.sources import lines as sources
 from listwright.sources.listing import is_hidden
 from listwright.sources.registry import check_registry
-from listwright.storage import fresh_path
+from listwright.storage import fresh_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -108,12 +108,17 @@ def scan_source(spark, sf):
     customers.write.parquet(f"{root}/all/tables/customers")
     parts = b.table(spark, sf, "part").withColumnRenamed("p_name", "name")
     parts.write.parquet(f"{root}/all/tables/parts")
-    suppliers = b.table(spark, sf, "supplier").select(F.col("s_name").alias("zeta"), F.col("s_address").alias("beta"))
-    suppliers.write.parquet(f"{root}/all/tables/suppliers")
-    regions = b.table(spark, sf, "region").select(F.col("r_name").alias("beta"), F.col("r_comment").alias("zeta"))
-    regions.write.parquet(f"{root}/all/tables/regions")
-    nations = b.table(spark, sf, "nation").select(F.col("n_name").alias("zeta"), F.col("n_comment").alias("beta"))
-    nations.write.option("maxRecordsPerFile", 1).json(f"{root}/all/documents")
+    for name, columns in (
+        ("supplier", {"s_name": "zeta", "s_nationkey": "beta"}),
+        ("region", {"r_name": "beta", "r_regionkey": "zeta"}),
+        ("nation", {"n_name": "zeta", "n_regionkey": "beta"}),
+    ):
+        texts = [F.col(c).cast("string").alias(new) for c, new in columns.items()]
+        rows = b.table(spark, sf, name).select(*texts)
+        if name == "nation":
+            rows.write.option("maxRecordsPerFile", 1).json(f"{root}/all/documents")
+        else:
+            rows.write.parquet(f"{root}/all/tables/{name}")
     scanned = files.scan_source(spark, root, "all")
     return scanned.groupBy("source", "ext_rank", "original").agg(F.count("*").alias("n"))
 
@@ -508,6 +513,21 @@ def export_stats(spark, sf):
     return emails.export_stats(names, emails.parse_emails(b.words(spark, sf)))
 
 
+@query
+def export_estimates(spark, sf):
+    """Unique values per kind over all sources, exact and from sketches per source, which are written
+    and added up."""
+    names = dedupe.normalize_names(b.lines(spark, sf))
+    found = emails.parse_emails(b.words(spark, sf))
+    values = emails.tag_values(found, {"email": "email", "local_part": "local_part"}, ("source",))
+    values = values.unionByName(emails.tag_values(names, {"name": "nick"}, ("source",)))
+    sketches = stored(emails.value_sketches(values, ("source", "part")), "sketches")
+    estimates = emails.estimated_counts(sketches, ("part",))
+    exact = values.select("part", "value").distinct().groupBy("part").agg(F.count("*").alias("n"))
+    error = F.abs(F.col("estimate") - F.col("n")) / F.col("n")
+    return exact.join(estimates, "part").select("part", "n", (error <= emails.SKETCH_ERROR).alias("near"))
+
+
 # --- joins ---
 
 
@@ -587,15 +607,15 @@ def write_forced(spark, sf):
 
 @query
 def split_fixed(spark, sf):
-    """Raw lines in list order in files of an exact number of lines, written and read back."""
+    """Raw lines in list order in files of an exact number of lines, written and read back with the
+    place of each line in its file."""
     path = fresh_path(spark, "chunks")
     numbered = ordering.global_ordinal(b.raw_lines(spark, sf), PLACE)
     write_chunks(ordering.assign_chunks(numbered, BLOCK_ROWS), path, "value")
-    return (
-        spark.read.text(path)
-        .groupBy("chunk", "value")
-        .agg(F.count("*").alias("n"))
-        .select(fn.chunk_name("chunk").alias("chunk_file"), "value", "n")
+    read = spark.read.text(path).withColumn("_id", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy("chunk").orderBy("_id")) - 1
+    return read.select(
+        fn.chunk_name("chunk").alias("chunk_file"), place.cast("long").alias("line"), "value"
     )
 
 

@@ -26,10 +26,31 @@ def parse_emails(lines: DataFrame, value: str = "original") -> DataFrame:
 EMAIL_PARTS = {"email": "email", "local_part": "local_part", "domain": "domain"}
 
 
-def tag_values(df: DataFrame, tags: dict[str, str]) -> DataFrame:
-    """Each column of ``tags`` as rows ``(part, value)`` under its tag, without nulls."""
+# Sketches of 2^14 places have a standard error of 0.8 %; this is three times that.
+SKETCH_BITS = 14
+SKETCH_ERROR = 0.025
+
+
+def tag_values(df: DataFrame, tags: dict[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Each column of ``tags`` as rows ``(*keep, part, value)`` under its tag, without nulls."""
     pairs = [F.struct(F.lit(t).alias("part"), F.col(c).alias("value")) for t, c in tags.items()]
-    return df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
+    return df.select(*keep, F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
+
+
+def value_sketches(values: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """``(*by, sketch)``: what a later count of distinct values needs of each group.
+
+    A sketch takes at most some 16 KB however many values there are. Stored, one per source and
+    part, they answer counts over any choice of sources without reading a value again.
+    """
+    return values.groupBy(*by).agg(F.hll_sketch_agg("value", SKETCH_BITS).alias("sketch"))
+
+
+def estimated_counts(sketches: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """``(*by, estimate)``: distinct values in all sketches of a group, off by more than
+    ``SKETCH_ERROR`` once in some 370 cases."""
+    both = F.hll_sketch_estimate(F.hll_union_agg("sketch"))
+    return sketches.groupBy(*by).agg(both.alias("estimate"))
 
 
 def email_uniques(emails: DataFrame) -> DataFrame:

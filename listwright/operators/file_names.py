@@ -21,13 +21,18 @@ def conflict_suffix(
     ``within`` is a group like any other.
     """
     group = (*within, name)
-    ranked = group_ordinal(files, group, ("path",), "_rank")
+    # Only files of repeated names are put in order; a name is found to be repeated by its count.
+    counts = files.groupBy(*group).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    ranked = group_ordinal(null_safe_join(files.select(*group, "path"), counts, group, "left_semi"),
+                           group, ("path",), "_rank")
     repeated = ranked.where(F.col("_rank") > 0)
-    taken = _taken_numbers(files, repeated, within, name)
-    if taken.isEmpty():
-        numbered = ranked.withColumn("_number", F.col("_rank"))
-    else:
-        numbered = _free_numbers(ranked, repeated, taken, group)
+    taken = _taken_numbers(files, counts, within, name)
+    names = taken.select(*group).distinct()
+    moved = _free_numbers(null_safe_join(repeated, names, group, "left_semi"), taken, group)
+    numbers = repeated.select("path", "_rank").join(moved, "path", "left").select(
+        "path", F.coalesce("_found", "_rank").alias("_number")
+    )
+    numbered = files.join(numbers, "path", "left")
     base = stem(name)
     ext = F.substring(F.col(name), F.length(base) + 1, F.length(name))
     renamed = F.concat_ws("", base, F.lit("_"), F.col("_number").cast("string"), ext)
@@ -37,7 +42,7 @@ def conflict_suffix(
 
 
 def _taken_numbers(
-    files: DataFrame, repeated: DataFrame, within: tuple[str, ...], name: str
+    files: DataFrame, names: DataFrame, within: tuple[str, ...], name: str
 ) -> DataFrame:
     """Numbers that would turn a repeated name into one that exists."""
     ended = r"_([1-9]\d{0,16})$"
@@ -49,14 +54,11 @@ def _taken_numbers(
         F.concat(F.regexp_replace("_stem", ended, ""), ext).alias(name),
         F.regexp_extract("_stem", ended, 1).cast("long").alias("number"),
     )
-    wanted = repeated.select(*within, name).distinct()
-    return null_safe_join(candidates.distinct(), wanted, (*within, name), "left_semi")
+    return null_safe_join(candidates.distinct(), names, (*within, name), "left_semi")
 
 
-def _free_numbers(
-    ranked: DataFrame, repeated: DataFrame, taken: DataFrame, group: tuple[str, ...]
-) -> DataFrame:
-    """The j-th repeated file of a name gets the j-th number that is not taken.
+def _free_numbers(repeated: DataFrame, taken: DataFrame, group: tuple[str, ...]) -> DataFrame:
+    """``(path, _found)``: the j-th repeated file of a name gets the j-th number that is not taken.
 
     That is j plus the count of taken numbers with fewer than j free ones below. Files and
     taken numbers are put into one order, where a file's place is this number less one.
@@ -70,9 +72,4 @@ def _free_numbers(
     )
     waiting = repeated.select(*group, F.col("_rank").alias("_at"), F.lit(0).alias("_kind"), "path")
     merged = group_ordinal(waiting.unionByName(below), group, ("_at", "_kind"), "_place")
-    numbers = merged.where(F.col("_kind") == 0).select(
-        "path", (F.col("_place") + 1).alias("_found")
-    )
-    return ranked.join(numbers, "path", "left").withColumn(
-        "_number", F.coalesce("_found", F.lit(0).cast("long"))
-    )
+    return merged.where(F.col("_kind") == 0).select("path", (F.col("_place") + 1).alias("_found"))

@@ -1,6 +1,7 @@
 """Sinks: Parquet tables and text files of an exact number of lines.
 
-``force`` replaces an existing output; without it an existing output is left alone.
+``force`` replaces an existing output; without it a finished output is left alone. What a failed job
+left behind is replaced in any case.
 """
 
 from listwright.sinks.tables import write_table

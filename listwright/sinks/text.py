@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from listwright.functions import kinds
 from listwright.operators.ordering import CHUNK_ROWS, join_blocks
-from listwright.sinks.tables import save_mode
+from listwright.sinks.tables import output_writer
 
 
 def write_lines(
@@ -16,7 +16,9 @@ def write_lines(
     """One value per line; ``order`` gives the list order, where it matters."""
     if order:
         df = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    df.select(value).write.mode(save_mode(force)).text(path)
+    writer = output_writer(df.select(value), path, force)
+    if writer:
+        writer.text(path)
 
 
 def write_blocks(
@@ -46,20 +48,20 @@ def write_kinds(
     ranged = tagged.repartitionByRange("kind", *(order or (value,)))
     if order:
         ranged = ranged.sortWithinPartitions("kind", *order)
-    ranged.select("kind", value).write.mode(save_mode(force)).partitionBy("kind").text(path)
+    writer = output_writer(ranged.select("kind", value), path, force)
+    if writer:
+        writer.partitionBy("kind").text(path)
 
 
 def write_chunks(chunked: DataFrame, path: str, value: str, force: bool = False) -> None:
     """One folder with one file per chunk, so a file has exactly the lines of its chunk.
 
-    A chunk is written by one task; its size is the parameter of ``assign_chunks``.
+    A chunk is written by one task, which its number alone decides; its size is the parameter of
+    ``assign_chunks``.
     """
-    last = chunked.agg(F.max("chunk")).first()[0] or 1
-    ordered = chunked.repartitionByRange(last, "chunk").sortWithinPartitions("chunk", "ord")
-    (
-        ordered.select("chunk", value)
-        .write.mode(save_mode(force))
-        .option("maxRecordsPerFile", 0)
-        .partitionBy("chunk")
-        .text(path)
-    )
+    tasks = int(chunked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = chunked.repartitionById(tasks, (F.col("chunk") % tasks).cast("int"))
+    ordered = dealt.sortWithinPartitions("chunk", "ord")
+    writer = output_writer(ordered.select("chunk", value), path, force)
+    if writer:
+        writer.option("maxRecordsPerFile", 0).partitionBy("chunk").text(path)

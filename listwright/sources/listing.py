@@ -24,7 +24,7 @@ _FILES = "path string, length bigint, modificationTime timestamp"
 _BATCH = 1000
 
 
-def _opened(address: str) -> tuple[pafs.FileSystem, str, str]:
+def opened(address: str) -> tuple[pafs.FileSystem, str, str]:
     """The file system of an address, the path in it, and what to put before such paths."""
     parts = urlsplit(address)
     if parts.scheme in ("", "file"):
@@ -46,7 +46,7 @@ class FileReader(DataSourceReader):
         self.root = root.rstrip("/")
 
     def partitions(self) -> list[Folder]:
-        system, path, _ = _opened(self.root)
+        system, path, _ = opened(self.root)
         kind = system.get_file_info(path).type
         if kind == pafs.FileType.File:
             return [Folder(path, False)]
@@ -59,7 +59,7 @@ class FileReader(DataSourceReader):
         return [Folder(path, False), *(Folder(folder, True) for folder in folders)]
 
     def read(self, partition: Folder) -> Iterator[pa.RecordBatch]:
-        system, _, before = _opened(self.root)
+        system, _, before = opened(self.root)
         waiting, rows = [partition.path], []
         while waiting:
             here = system.get_file_info(waiting.pop())

@@ -5,7 +5,8 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from listwright.operators import dedupe, stats
+from listwright import sinks
+from listwright.operators import dedupe, ordering, stats
 from listwright.operators.joins import files_by_source
 from listwright.sources import files, manifest
 from listwright.sources import lines as sources
@@ -326,3 +327,37 @@ def test_registry(spark):
     ):
         with pytest.raises(ValueError):
             source_registry(spark, wrong)
+
+
+def test_half_written_output_is_replaced(spark, tmp_path):
+    words = spark.createDataFrame([("a",), ("b",)], "value string")
+    half = tmp_path / "out"
+    write(half, _temporary__0__part="x", part_dash_0_dot_txt="left behind\n")
+    sinks.write_lines(words, str(half), "value")
+    assert sorted(r.value for r in spark.read.text(str(half)).collect()) == ["a", "b"]
+    sinks.write_lines(words.where("value = 'a'"), str(half), "value")
+    assert spark.read.text(str(half)).count() == 2
+    table = str(tmp_path / "table")
+    sinks.write_table(words, table)
+    (tmp_path / "table" / "_SUCCESS").unlink()
+    sinks.write_table(words.where("value = 'a'"), table)
+    assert [r.value for r in spark.read.parquet(table).collect()] == ["a"]
+    sinks.write_table(words, table, force=True)
+    assert spark.read.parquet(table).count() == 2
+
+
+def test_chunks_take_one_job(spark, tmp_path):
+    numbered = spark.range(2500).select(F.col("id").alias("ord"), F.col("id").cast("string").alias("v"))
+    path = str(tmp_path / "chunks")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("chunks", "chunks")
+    sinks.write_chunks(ordering.assign_chunks(numbered, 100), path, "v")
+    # The last stages of one write; no job of its own counts chunks or samples bounds.
+    plans = tracker.getJobIdsForGroup("chunks")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(plans) <= 2
+    parts = [p for p in (tmp_path / "chunks").glob("chunk=*/*.txt")]
+    assert len(parts) == 25
+    for part in parts:
+        first = (int(part.parent.name.split("=")[1]) - 1) * 100
+        assert part.read_text().split() == [str(n) for n in range(first, first + 100)]
