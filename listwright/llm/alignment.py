@@ -73,7 +73,7 @@ class ByteLevel:
     def encode(self, text: str) -> np.ndarray:
         if _LONG_SPACE.search(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32)
-        return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int32)
+        return np.array(self.fast.encode_ordinary(text), np.int32)
 
 
 def _lists(rows: list) -> pa.ListArray:

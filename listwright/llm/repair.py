@@ -14,8 +14,6 @@ their texts). Null and empty texts hold only the end id.
 from __future__ import annotations
 
 import zlib
-from array import array
-from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -24,16 +22,16 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from listwright.llm.words import END_OF_TEXT, WordEncoder, byte_alphabet
+from listwright.llm.alignment import ByteLevel
+from listwright.llm.words import END_OF_TEXT
 
 # A block is closed at this many ids. New symbols fit the 16 bits of a stored symbol.
 BLOCK_IDS = 4_000_000
 SYMBOLS = 1 << 16
-# Pairs replaced in one round at most, rounds at most, and the count from which a pair is frequent.
-ROUND_RULES = 1024
-ROUNDS = 8
+# Pairs replaced in one round at most, and the count from which a pair is frequent. Rounds go on until
+# no pair is, or all symbols are used.
+ROUND_RULES = 4096
 LEAST_COUNT = 16
 _TABLE_BITS = 20
 
@@ -61,9 +59,13 @@ def _frequent_pairs(codes: np.ndarray, most: int, least: int) -> np.ndarray:
     slots = slots.astype(np.int32)
     table = np.bincount(slots, minlength=1 << _TABLE_BITS)
     cut = max(least, int(np.partition(table, -most)[-most]))
-    pairs, counts = np.unique(codes[(table >= cut)[slots]], return_counts=True)
-    pairs, counts = pairs[counts >= cut], counts[counts >= cut]
-    return pairs[np.lexsort((pairs, -counts))][:most]
+    while True:
+        pairs, counts = np.unique(codes[(table >= cut)[slots]], return_counts=True)
+        pairs, counts = pairs[counts >= cut], counts[counts >= cut]
+        if len(pairs) or cut == least:
+            return pairs[np.lexsort((pairs, -counts))][:most]
+        # All of these places hold several rarer pairs.
+        cut = max(least, cut // 2)
 
 
 def _replace(symbols: np.ndarray, codes: np.ndarray, pairs: np.ndarray, first: int) -> np.ndarray:
@@ -101,7 +103,7 @@ def compress(ids: np.ndarray, base: int) -> Grammar:
     rules: list[np.ndarray] = []
     lengths = np.ones(0, np.int64)
     first = base
-    for _ in range(ROUNDS):
+    while True:
         room = min(ROUND_RULES, SYMBOLS - first)
         if len(symbols) < 2 or room <= 0:
             break
@@ -153,18 +155,27 @@ class Expander:
         return whole[start - self.offsets[low] : end - self.offsets[low]]
 
 
-@lru_cache(maxsize=2)
-def _encoder(vocabulary: str) -> tuple[WordEncoder, int]:
-    library = Tokenizer.from_file(vocabulary)
-    model, alphabet = library.model, byte_alphabet()
-    mark = np.uint32(library.token_to_id(END_OF_TEXT)).tobytes()
+class Encoder:
+    """The ids of whole texts as the tokenizers library gives them; its end-of-text mark is one id."""
+
+    def __init__(self, vocabulary: str) -> None:
+        self.parts = ByteLevel(vocabulary)
+        self.base = self.parts.library.get_vocab_size()
+        self.mark = np.array([self.parts.library.token_to_id(END_OF_TEXT)], np.int32)
 
-    def encode_words(words: list[bytes]) -> Iterator[bytes]:
-        for word in words:
-            tokens = model.tokenize(word.decode("latin-1").translate(alphabet))
-            yield array("I", [t.id for t in tokens]).tobytes()
+    def encode(self, text: str) -> list[np.ndarray]:
+        pieces = []
+        for i, part in enumerate(text.split(END_OF_TEXT)):
+            if i:
+                pieces.append(self.mark)
+            if part:
+                pieces.append(self.parts.encode(part))
+        return pieces
 
-    return WordEncoder(encode_words, mark), library.get_vocab_size()
+
+@lru_cache(maxsize=2)
+def _encoder(vocabulary: str) -> Encoder:
+    return Encoder(vocabulary)
 
 
 _BLOCK = (
@@ -184,15 +195,16 @@ def write_shards(
 ) -> None:
     """Encode the texts, end each with ``end_id``, and write compressed shards below ``path``."""
     kind = docs.schema[key].dataType.simpleString()
-    end = np.uint32(end_id).tobytes()
+    end = np.array([end_id], np.int32)
 
     def run(batches):
-        encoder, base = _encoder(vocabulary)
+        encoder = _encoder(vocabulary)
+        base = encoder.base
         shard, number = TaskContext.get().partitionId(), 0
         keys, lengths, held, size = [], [], [], 0
 
         def block():
-            grammar = compress(np.frombuffer(b"".join(held), "<u4"), base)
+            grammar = compress(np.concatenate(held), base)
             parts = [grammar.symbols, grammar.lefts, grammar.rights, grammar.lengths]
             values = [shard, number, base, keys, lengths, size, *(p.tobytes() for p in parts)]
             return pa.RecordBatch.from_arrays(
@@ -205,11 +217,11 @@ def write_shards(
         for batch in batches:
             kinds = kinds or [pa.int32(), pa.int32(), pa.int32(), pa.list_(batch.column(0).type),
                               pa.list_(whole), whole, blob, blob, blob, blob]
-            encoded = encoder.encode(batch.column(1).to_pylist())
-            for value, ids in zip(batch.column(0).to_pylist(), encoded):
+            for value, text in zip(*(column.to_pylist() for column in batch.columns)):
+                pieces = [*encoder.encode(text or ""), end]
                 keys.append(value)
-                lengths.append(len(ids) // 4 + 1)
-                held.append(ids + end)
+                lengths.append(sum(map(len, pieces)))
+                held.extend(pieces)
                 size += lengths[-1]
                 if size >= block_ids:
                     yield block()

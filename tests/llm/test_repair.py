@@ -57,3 +57,21 @@ def test_compress(kind):
     for start in range(0, len(ids), 97):
         assert (expander.ids(start, start + 5) == ids[start : start + 5]).all()
     assert kind not in ("runs", "text") or len(grammar.symbols) < 0.75 * len(ids)
+
+
+def test_goes_on_to_the_end():
+    rng = np.random.default_rng(5)
+    words = [rng.integers(0, 3000, rng.integers(2, 6)) for _ in range(4000)]
+    ids = np.concatenate([words[i] for i in rng.zipf(1.2, 150_000) % 4000]).astype(np.uint32)
+    grammar = repair.compress(ids, 50_257)
+    assert len(grammar.lefts) > 2048
+    _, counts = np.unique(repair._pair_codes(grammar.symbols.astype(np.uint32)), return_counts=True)
+    # What is left overlaps itself, so that only every second occurrence can be replaced.
+    assert (counts >= 2 * repair.LEAST_COUNT).sum() == 0 or len(grammar.lefts) == 65_536 - 50_257
+
+
+def test_encoder():
+    library, encoder = Tokenizer.from_file(VOCABULARY), repair.Encoder(VOCABULARY)
+    for text in ["", " ", "a<|endoftext|>", "<|endoftext|><|endoftext|> b", "x" * 5000 + " " * 900 + "y"]:
+        ids = [i for part in encoder.encode(text) for i in part.tolist()]
+        assert ids == library.encode(text, add_special_tokens=False).ids
