@@ -296,7 +296,9 @@ def repeated_anchors(
     schema = f"key {kind}, version bigint, place int, h bigint"
     found = stored(rows.mapInArrow(run, schema), "anchors")
     again = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    kept = found.join(again, "h")
+    # Read from files, both sides of the join are shuffled as they are, and adaptive execution may
+    # split the partition of a window that very many documents hold.
+    kept = found.join(stored(again, "repeated-windows").hint("merge"), "h")
     return kept.groupBy("key", "version").agg(F.sort_array(F.collect_set("place")).alias("places"))
 
 
