@@ -7,16 +7,13 @@ batch with the stored table and keeps no state.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listwright.operators.dedupe import incremental_new, normalize_names
+from listwright.operators.dedupe import normalize_names
 from listwright.sources.lines import readable
 from listwright.storage import fresh_path
-
-# A table of known values is kept in folders by the hash of the value.
-BUCKETS = 64
+from listwright.streaming.known import add_unknown
 
 
 def stream_lines(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
@@ -54,42 +51,14 @@ def run_available(stream: DataFrame, path: str | None = None) -> DataFrame:
 def append_new(stream: DataFrame, table: str, key: str = "value") -> None:
     """Append the values of the stream that the stored table lacks, batch after batch.
 
-    The table is laid out by ``write_known``: a batch reads only the buckets of its values.
-    A batch that is run again adds nothing, as its values are stored by then.
+    The table is laid out by ``write_known``; of it a batch opens the folders that may hold its
+    values: see ``known``. A batch that is run again adds nothing, as its values are stored by then.
     """
-
-    def append(batch: DataFrame, _: int) -> None:
-        values = batch.distinct().persist()
-        buckets = [r[0] for r in values.select(_bucket(key)).distinct().collect()]
-        known = _stored(batch, table, key).where(F.col("bucket").isin(buckets))
-        write_known(incremental_new(values, known, key), table, key)
-        values.unpersist()
-
     query = (
         stream.select(key)
         .writeStream.trigger(availableNow=True)
         .option("checkpointLocation", f"{table.rstrip('/')}-progress")
-        .foreachBatch(append)
+        .foreachBatch(lambda batch, _: add_unknown(batch, table, key))
         .start()
     )
     query.awaitTermination()
-
-
-def write_known(values: DataFrame, table: str, key: str = "value") -> None:
-    """Append values to a table for ``append_new``: ``(value, bucket)``, a folder per bucket."""
-    bucketed = values.select(key, _bucket(key))
-    bucketed.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(table)
-
-
-def _bucket(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("bucket")
-
-
-def _stored(batch: DataFrame, table: str, key: str) -> DataFrame:
-    spark = batch.sparkSession
-    try:
-        return spark.read.parquet(table).select(key, "bucket")
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return batch.select(key, _bucket(key)).limit(0)
