@@ -159,13 +159,13 @@ def fold_rare_groups(c: ColumnOrName) -> Column:
     table is evaluated for values that hold one of them, which are few.
     """
     c = as_column(c)
-    none = F.char_length(F.translate(c, "".join(RARE_GROUPS), "")) == F.char_length(c)
+    some = F.regexp_like(c, F.lit("[" + "".join(RARE_GROUPS) + "]"))
     table = F.lit([part for pair in RARE_GROUPS.items() for part in pair])
     steps = F.sequence(F.lit(0), F.lit(2 * len(RARE_GROUPS) - 2), F.lit(2))
     folded = F.aggregate(
         steps, c, lambda text, i: F.replace(text, F.get(table, i), F.get(table, i + 1))
     )
-    return F.when(is_ascii(c), c).when(none, c).otherwise(folded)
+    return F.when(is_ascii(c) | ~some, c).otherwise(folded)
 
 
 def whitelist(c: ColumnOrName) -> Column:

@@ -13,6 +13,7 @@ from listwright.operators import dedupe, emails, joins, ordering, stats
 from listwright.operators.file_names import conflict_suffix
 from listwright.plans.consolidate import consolidate, stats_total
 from listwright.sinks import write_blocks, write_chunks, write_kinds, write_lines, write_table
+from listwright.streaming import known
 
 few = settings(
     max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -301,3 +302,37 @@ def test_stream_resumes_where_it_stopped(spark, tmp_path):
     assert streaming.run_available(stream, out).count() == 2
     (folder / "1.txt").write_text("b\nc\n")
     assert sorted(r.value for r in streaming.run_available(stream, out).collect()) == ["a", "b", "c"]
+
+
+def test_a_batch_opens_few_folders(spark, tmp_path):
+    table = str(tmp_path / "known")
+    for start, stop in ((0, 300_000), (300_000, 2_000_000)):
+        values = spark.range(start, stop).select(F.concat(F.lit("value "), F.col("id")).alias("value"))
+        streaming.write_known(values, table)
+    folders = spark.read.parquet(table).select("bucket").distinct().count()
+    # The first generation holds 640,000 values, so the second write went into a larger one.
+    assert folders == 64 + 256
+    new = spark.range(1000).select(F.concat(F.lit("new "), F.col("id")).alias("value"))
+    opened = known.possible_buckets(new, table)
+    assert len(opened) < 0.2 * folders
+    old = spark.range(7).select(F.concat(F.lit("value "), F.col("id") * 250_001).alias("value"))
+    assert 1 <= len(known.possible_buckets(old, table)) <= 16
+    known.add_unknown(new.union(old).union(old), table)
+    stored = spark.read.parquet(table)
+    assert stored.count() == stored.select("value").distinct().count() == 2_001_000
+    known.add_unknown(new.union(old), table)
+    assert spark.read.parquet(table).count() == 2_001_000
+
+
+def test_marks_without_values_do_no_harm(spark, tmp_path):
+    table = str(tmp_path / "known")
+    values = spark.createDataFrame([("a",), (None,), ("b",)], "value string")
+    known.add_unknown(values, table)
+    # As after a batch that failed once its marks were written.
+    marks = spark.read.parquet(f"{table}-marks").collect()
+    lost = spark.createDataFrame([("c",)], "value string")
+    known.write_known(lost, str(tmp_path / "other"))
+    spark.read.parquet(str(tmp_path / "other-marks")).write.mode("append").parquet(f"{table}-marks")
+    assert spark.read.parquet(f"{table}-marks").count() > len(marks)
+    known.add_unknown(lost.union(values), table)
+    assert sorted(r.value for r in spark.read.parquet(table).collect()) == ["a", "b", "c"]
