@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from listwright.functions import stem
 from listwright.operators.ordering import group_ordinal
 from listwright.sources.lines import add_computed
-from listwright.storage import null_safe_join
+from listwright.storage import null_safe_join, stored
 
 
 def conflict_suffix(
@@ -22,11 +22,13 @@ def conflict_suffix(
     """
     group = (*within, name)
     # Only files of repeated names are put in order; a name is found to be repeated by its count.
-    counts = files.groupBy(*group).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    ranked = group_ordinal(null_safe_join(files.select(*group, "path"), counts, group, "left_semi"),
-                           group, ("path",), "_rank")
+    named = stored(files.select(*group, "path"), "file-names")
+    counts = named.groupBy(*group).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    counts = stored(counts, "repeated-names")
+    again = null_safe_join(named, counts, group, "left_semi")
+    ranked = group_ordinal(again, group, ("path",), "_rank")
     repeated = ranked.where(F.col("_rank") > 0)
-    taken = _taken_numbers(files, counts, within, name)
+    taken = stored(_taken_numbers(named, counts, within, name), "taken-numbers")
     names = taken.select(*group).distinct()
     moved = _free_numbers(null_safe_join(repeated, names, group, "left_semi"), taken, group)
     numbers = repeated.select("path", "_rank").join(moved, "path", "left").select(
