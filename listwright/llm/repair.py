@@ -50,13 +50,16 @@ def _pair_codes(symbols: np.ndarray) -> np.ndarray:
     return symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
 
 
-def _frequent_pairs(codes: np.ndarray, most: int, least: int) -> np.ndarray:
+def _slots(codes: np.ndarray) -> np.ndarray:
+    """The place of each pair in a table of hashed counts."""
+    return ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _TABLE_BITS)).astype(np.int32)
+
+
+def _frequent_pairs(codes: np.ndarray, slots: np.ndarray, most: int, least: int) -> np.ndarray:
     """The most frequent pairs, the most frequent first; ties in the order of the pairs.
 
     A table of hashed counts, which are never too low, leaves few places to count exactly.
     """
-    slots = (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _TABLE_BITS)
-    slots = slots.astype(np.int32)
     table = np.bincount(slots, minlength=1 << _TABLE_BITS)
     cut = max(least, int(np.partition(table, -most)[-most]))
     while True:
@@ -68,7 +71,9 @@ def _frequent_pairs(codes: np.ndarray, most: int, least: int) -> np.ndarray:
         cut = max(least, cut // 2)
 
 
-def _replace(symbols: np.ndarray, codes: np.ndarray, pairs: np.ndarray, first: int) -> np.ndarray:
+def _replace(
+    symbols: np.ndarray, codes: np.ndarray, slots: np.ndarray, pairs: np.ndarray, first: int
+) -> np.ndarray:
     """The sequence with pair number i replaced by symbol ``first + i``, from left to right.
 
     Where replaced pairs would overlap, the first of them is taken, then every second one.
@@ -76,9 +81,8 @@ def _replace(symbols: np.ndarray, codes: np.ndarray, pairs: np.ndarray, first: i
     order = np.argsort(pairs)
     ranked = pairs[order]
     maybe = np.zeros(1 << _TABLE_BITS, bool)
-    slot = np.uint64(64 - _TABLE_BITS)
-    maybe[(pairs * np.uint64(0x9E3779B97F4A7C15)) >> slot] = True
-    at = np.flatnonzero(maybe[((codes * np.uint64(0x9E3779B97F4A7C15)) >> slot).astype(np.int32)])
+    maybe[_slots(pairs)] = True
+    at = np.flatnonzero(maybe[slots])
     found = np.searchsorted(ranked, codes[at]).clip(max=len(ranked) - 1)
     hit = ranked[found] == codes[at]
     at, number = at[hit], order[found[hit]]
@@ -108,10 +112,11 @@ def compress(ids: np.ndarray, base: int) -> Grammar:
         if len(symbols) < 2 or room <= 0:
             break
         codes = _pair_codes(symbols)
-        pairs = _frequent_pairs(codes, room, LEAST_COUNT)
+        slots = _slots(codes)
+        pairs = _frequent_pairs(codes, slots, room, LEAST_COUNT)
         if len(pairs) == 0:
             break
-        symbols = _replace(symbols, codes, pairs, first)
+        symbols = _replace(symbols, codes, slots, pairs, first)
         ends = np.stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)]).astype(np.int64)
         known = np.concatenate([np.ones(base, np.int64), lengths])
         lengths = np.concatenate([lengths, known[ends].sum(axis=0)])
