@@ -2,21 +2,30 @@
 
 Words and pairs of neighbouring words are hashed into buckets. Their counts in trusted documents and
 in the whole corpus are two multinomials; a document's score is the mean over its n-grams of
-log(trusted / raw), and it is kept from ``threshold`` on. Bucket weights are rounded to millionths,
-so scores are sums of integers and no order of additions changes a decision.
+log(trusted / raw). Bucket weights are rounded to millionths, so scores are sums of integers and no
+order of additions changes a decision.
+
+The more n-grams share a bucket, the closer to zero all scores are, so no fixed score can part good
+from bad at every size of the corpus. A fifth of the trusted documents is therefore kept out of the
+trusted counts, and the threshold is the score that all but a hundredth of them reach: whatever the
+corpus, about that share of good documents that the counts have not seen is rejected.
 
 Only DataFrame functions are used. A document's n-grams are exploded where they are read and added up
-per row before the shuffle; the weights, one per bucket whatever the corpus, are broadcast.
+per row before the shuffle; the weights, one per bucket whatever the corpus, are broadcast. One row of
+numbers per document is written and read again, so that the threshold does not score them twice.
 
 A null text has no words, fails the base rules and scores 0. Repeated rows are counted and judged one
-by one. Without trusted documents all weights are 0 and only the base rules decide.
+by one. Without trusted documents in the counts all weights are 0; then, and without any that are kept
+out and pass the base rules, only the base rules decide. A null key is never trusted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from listwright.storage import stored
+
 # Fixed values of the base rules.
 WORD_SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -27,8 +36,11 @@ WINDOW = 5
 # Two rows of weights, for words and pairs: 16 bytes a bucket, a broadcast of at most a few MB.
 BUCKETS = 1 << 16
 MICRO = 1_000_000
-# Kept from this mean log-likelihood ratio on, in millionths.
-THRESHOLD = -300_000
+# One fold of trusted documents sets the threshold, which this share of them may miss. Their scores
+# are counted in steps of a thousandth: some tens of thousands of counts, whatever the corpus.
+FOLDS = 5
+MISSED_PERCENT = 1
+STEP = 1000
 SMOOTHING = 1.0
 
 
@@ -150,12 +162,12 @@ def gram_weights(
     )
 
 
-def judged(
+def scored(
     docs: DataFrame, weights: DataFrame, text: str = "text", key: str = "doc_id",
-    buckets: int = BUCKETS, threshold: int = THRESHOLD,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
-    """One row per row of ``docs``: key, base measures, ``base_failed``, ``n_grams``, ``llr_sum``
-    in millionths, and ``kept``."""
+    """One row per row of ``docs``: key, base measures, ``base_failed``, ``n_grams``, and ``llr_sum``
+    in millionths."""
     measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     # A row without words has no pairs; its one pair of nulls has no buckets and no weight.
     pairs = base_rules(docs, text, key).select(
@@ -163,9 +175,9 @@ def judged(
     )
     word, both = _grams(F.col("pair"), buckets)
     grams = pairs.select("row", "key", *measures, F.explode(F.array(word, both)).alias("bucket"))
-    scored = grams.join(F.broadcast(weights), "bucket", "left")
+    weighed = grams.join(F.broadcast(weights), "bucket", "left")
     same = [F.first(c).alias(c) for c in ("key", *measures)]
-    rows = scored.groupBy("row").agg(
+    rows = weighed.groupBy("row").agg(
         *same,
         F.count("bucket").alias("n_grams"),
         F.coalesce(F.sum("weight"), F.lit(0)).alias("llr_sum"),
@@ -173,21 +185,51 @@ def judged(
     failed = (F.col("n_words") < LEAST_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED_PERCENT
     )
-    passed = F.col("llr_sum") >= F.col("n_grams") * F.lit(threshold)
     return rows.select(
-        F.col("key").alias(key),
-        *measures,
-        failed.alias("base_failed"),
-        "n_grams",
-        "llr_sum",
-        (~failed & passed).alias("kept"),
+        F.col("key").alias(key), *measures, failed.alias("base_failed"), "n_grams", "llr_sum"
     )
 
 
+def _step() -> Column:
+    """The mean ratio of a row in whole steps, rounded down; null without n-grams."""
+    return F.floor(F.try_divide("llr_sum", F.col("n_grams") * STEP))
+
+
+def held_out(key: str) -> Column:
+    """Whether a trusted document sets the threshold and is not counted."""
+    digest = F.substring(F.md5(F.col(key).cast("string")), 1, 7)
+    return F.conv(digest, 16, 10).cast("long") % FOLDS == 1
+
+
+def lowest_step(rows: DataFrame, trusted: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``(step)``, one row: the step that all but ``MISSED_PERCENT`` of the trusted rows reach that
+    are held out and pass the base rules; null without such rows."""
+    keys = trusted.select(key).filter(F.col(key).isNotNull() & held_out(key)).distinct()
+    found = rows.filter(~F.col("base_failed")).join(keys, key, "left_semi")
+    counts = found.groupBy(_step().alias("step")).agg(F.count("*").alias("n"))
+    up_to = F.sum("n").over(Window.orderBy("step"))
+    total = F.sum("n").over(Window.orderBy("step").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing))
+    reached = counts.select("step", (up_to * 100 > total * MISSED_PERCENT).alias("reached"))
+    return reached.filter("reached").agg(F.min("step").alias("step"))
+
+
 def quality_rules(
     docs: DataFrame, trusted: DataFrame, text: str = "text", key: str = "doc_id",
-    buckets: int = BUCKETS, threshold: int = THRESHOLD,
+    buckets: int = BUCKETS, threshold: int | None = None,
 ) -> DataFrame:
-    """``judged`` by the weights of ``gram_weights`` over the same documents."""
-    weights = gram_weights(docs, trusted, text, key, buckets)
-    return judged(docs, weights, text, key, buckets, threshold)
+    """``scored`` by the weights of ``gram_weights`` over the same documents, and ``kept``.
+
+    A ``threshold`` for the mean ratio, in millionths, takes the place of the one that trusted
+    documents set; all of them are counted then.
+    """
+    if threshold is not None:
+        rows = scored(docs, gram_weights(docs, trusted, text, key, buckets), text, key, buckets)
+        passed = F.col("llr_sum") >= F.col("n_grams") * F.lit(threshold)
+        return rows.withColumn("kept", ~F.col("base_failed") & passed)
+    counted = trusted.filter(~held_out(key))
+    weights = gram_weights(docs, counted, text, key, buckets)
+    rows = stored(scored(docs, weights, text, key, buckets), "quality-rules")
+    lowest = lowest_step(rows, trusted, key).scalar()
+    passed = F.coalesce(_step() >= lowest, F.lit(True))
+    return rows.withColumn("kept", ~F.col("base_failed") & passed)

@@ -37,11 +37,14 @@ WITH crc_table AS MATERIALIZED (
       lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
     lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1]))) % 65536 AS bucket
   FROM hexed, crc_table
+), trusted AS MATERIALIZED (
+  SELECT DISTINCT doc_id,
+         ('0x' || substr(md5(doc_id::VARCHAR), 1, 7))::BIGINT % 5 = 1 AS held_out
+  FROM labels WHERE quality = 1 AND toxic = 0 AND doc_id IS NOT NULL
 ), counts AS (
   SELECT bucket, kind, count(*) AS r, count(*) FILTER (l.doc_id IS NOT NULL) AS t
   FROM grams g JOIN buckets USING (kind, gram)
-  LEFT JOIN (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND toxic = 0) l
-    ON g.doc_id = l.doc_id
+  LEFT JOIN (SELECT doc_id FROM trusted WHERE NOT held_out) l ON g.doc_id = l.doc_id
   GROUP BY bucket, kind
 ), weights AS (
   SELECT bucket, round(ln(((t + 1.0::DOUBLE) / (sum(t) OVER (PARTITION BY kind) + 65536))
@@ -58,11 +61,17 @@ WITH crc_table AS MATERIALIZED (
          coalesce(n_grams, 0) AS n_grams, coalesce(llr_sum, 0) AS llr_sum
   FROM docs d LEFT JOIN lines l ON d.doc_id = l.doc_id
   LEFT JOIN repeats r ON d.doc_id = r.doc_id LEFT JOIN scores s ON d.doc_id = s.doc_id
-)
-SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
-         AND llr_sum >= -300000 * n_grams AS kept
-FROM measured
+), judged AS MATERIALIZED (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+         floor(llr_sum / (n_grams * 1000))::BIGINT AS step
+  FROM measured
+), held AS (
+  SELECT step, row_number() OVER (ORDER BY step) AS place, count(*) OVER () AS n
+  FROM judged JOIN trusted USING (doc_id) WHERE held_out AND NOT base_failed
+), lowest AS (SELECT min(step) AS least FROM held WHERE place * 100 > n)
+SELECT * EXCLUDE (step),
+       NOT base_failed AND coalesce(step >= (SELECT least FROM lowest), true) AS kept
+FROM judged
 """,
     "op2_url_lists": r"""
 WITH parsed AS (

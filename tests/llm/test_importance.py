@@ -1,4 +1,7 @@
+import hashlib
 import math
+import os
+import random
 import re
 import zlib
 from collections import Counter
@@ -72,8 +75,60 @@ def test_rules(spark):
     assert importance.quality_rules(empty, trusted).count() == 0
 
 
+def held_out(key):
+    return int(hashlib.md5(str(key).encode()).hexdigest()[:7], 16) % importance.FOLDS == 1
+
+
+def plain_by_trusted(rows, trusted):
+    """Like ``plain``, with the threshold that the trusted keys set which are held out."""
+    step = lambda r: r[8] // (r[7] * 1000)
+    judged = plain(rows, {k for k in trusted if not held_out(k)}, 0)
+    steps = sorted(step(r) for r in judged if r[0] in trusted and held_out(r[0]) and not r[6])
+    missed = len(steps) * importance.MISSED_PERCENT // 100
+    return [(*r[:9], not r[6] and (not steps or step(r) >= steps[missed])) for r in judged]
+
+
+def test_threshold_of_trusted(spark):
+    rng = random.Random(8)
+    good, bad = (["".join(rng.choices(letters, k=4)) for _ in range(300)]
+                 for letters in ("abcdefg", "efghijk"))
+    rows = [(i, " ".join(rng.choices(bad if i % 3 == 0 else good, k=40))) for i in range(900)]
+    rows += [(None, rows[1][1]), (7, rows[7][1]), (9, None), (901, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    keys = {i for i in range(900) if i % 3 and i % 2}
+    trusted = spark.createDataFrame([(k,) for k in [*keys, None]], "doc_id bigint")
+    got = rows_of(importance.quality_rules(docs, trusted, buckets=BUCKETS))
+    assert got == sorted(plain_by_trusted(rows, keys), key=repr)
+    kept = Counter(r[0] % 3 == 0 for r in got if r[-1] and r[0] is not None)
+    assert kept[False] > 570 and kept[True] < 30
+    # Only the held-out fold, or only the rest of it, is trusted.
+    for some in (True, False):
+        part = {k for k in keys if held_out(k) == some}
+        few = spark.createDataFrame([(k,) for k in part], "doc_id bigint")
+        got = rows_of(importance.quality_rules(docs, few, buckets=BUCKETS))
+        assert got == sorted(plain_by_trusted(rows, part), key=repr)
+
+
+def test_verdict_at_ten_times_the_load(spark):
+    sf = os.environ.get("TEST_LOAD_DIR", "/root/testdata/sf0.1")
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    trusted = labels.filter("quality = 1 AND toxic = 0")
+    bad = labels.filter("quality = 0").select("doc_id").distinct()
+    shares = []
+    # With a tenth of the buckets each holds ten times as many n-grams.
+    for buckets in (importance.BUCKETS, importance.BUCKETS // 10):
+        rows = importance.quality_rules(docs, trusted, buckets=buckets).filter("NOT base_failed")
+        of_bad = rows.join(bad, "doc_id", "left_semi")
+        shares.append(of_bad.agg(F.avg(F.expr("CAST(NOT kept AS int)"))).first()[0])
+        of_good = rows.join(trusted.select("doc_id"), "doc_id", "left_semi")
+        assert of_good.agg(F.avg(F.expr("CAST(kept AS int)"))).first()[0] > 0.95
+    assert abs(shares[0] - shares[1]) < 0.05 and min(shares) > 0.9, shares
+
+
 def test_native(spark):
     docs = odd_documents(spark)
-    got = importance.quality_rules(docs, docs.select(F.col("doc_id")))
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan
+    trusted = docs.select(F.col("doc_id"))
+    weights = importance.gram_weights(docs, trusted)
+    for got in (importance.quality_rules(docs, trusted), importance.scored(docs, weights)):
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
