@@ -19,6 +19,8 @@ FILE_PLACE = ("file", "block", "line_no")
 
 # Fixed value: a Markdown link to a web page, with its title.
 LINK = r"\[(.*?)\]\((https?://[^\)]+)\)"
+# Bytes of text to a task of ``spread``.
+TASK_BYTES = 8_000_000
 Step = Callable[[ColumnOrName], Column]
 
 
@@ -111,9 +113,19 @@ def to_text(df: DataFrame, value: ColumnOrName) -> Column:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition a scan of few, large row groups on a key that is unique or nearly so, into
-    the session's number of shuffle partitions. For inputs with tasks enough, leave it out."""
-    return df.repartition(*keys)
+    """Repartition a scan of few, large row groups on a key that is unique or nearly so. For inputs
+    with tasks enough, leave it out.
+
+    The values are measured first, so that a task gets about ``TASK_BYTES`` of them however large
+    the table is: cut into words they take twenty times the memory where they are sorted. Adaptive
+    execution, which goes by compressed size, does not join these tasks again.
+    """
+    if df.isStreaming:
+        return df.repartition(*keys)
+    sizes = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
+    total = df.agg(F.sum(sum(sizes, F.lit(0).cast("long")))).first()[0] or 0
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    return df.repartition(tasks, *keys)
 
 
 def merge_lists(

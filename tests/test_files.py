@@ -361,3 +361,17 @@ def test_chunks_take_one_job(spark, tmp_path):
     for part in parts:
         first = (int(part.parent.name.split("=")[1]) - 1) * 100
         assert part.read_text().split() == [str(n) for n in range(first, first + 100)]
+
+
+def test_spread_by_size(spark, monkeypatch):
+    monkeypatch.setattr(sources, "TASK_BYTES", 20_000, raising=False)
+    rows = [(i, "s", "word " * 400) for i in range(400)] + [(None, "s", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    spread = sources.spread(docs, "doc_id").withColumn("task", F.spark_partition_id())
+    tasks = spread.groupBy("task").agg(F.sum(F.length("text")).alias("size")).collect()
+    assert len(tasks) > 20
+    # About 20,000 bytes each, as the hashes of the keys deal them out.
+    assert max(t.size or 0 for t in tasks) < 100_000
+    assert spread.count() == 401
+    empty = sources.spread(docs.limit(0), "doc_id")
+    assert empty.count() == 0
