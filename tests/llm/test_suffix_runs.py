@@ -86,3 +86,23 @@ def test_merge():
 def test_empty(spark):
     docs = documents(spark, [])
     assert suffix_runs.kept_digests(docs, suffix_runs.removals(docs)).count() == 0
+
+
+def test_equal_suffixes_travel_once(spark):
+    random.seed(3)
+    line = "".join(random.choices("abcdef ", k=90))
+    copies = [(i, line * 2) for i in range(60)]
+    headed = [(100 + i, "".join(random.choices("xyz", k=i)) + line) for i in range(30)]
+    ended = [(200 + i, line[i:] + "".join(random.choices("xyz", k=i % 3))) for i in range(50)]
+    rows = [*copies, (7, copies[7][1]), *headed, *ended, (300, line[:40]), (301, line[50:])]
+    docs = documents(spark, rows).coalesce(1)
+    anchored = suffix_runs.repeated_anchors(docs, "text", "doc_id", 40, 20)
+    texts = suffix_runs._identified(docs, "text", "doc_id").join(anchored, ["key", "version"])
+    runs = suffix_runs.sorted_runs(texts.coalesce(1), 1, 40, 20)
+    per_copy = texts.where("key = 7").first()["places"]
+    # The copies of a text come to no more rows than one of them, the other texts to their own.
+    others = texts.where("key >= 100").selectExpr("sum(size(places)) AS n").first().n
+    assert runs.count() <= len(per_copy) + others
+    for sizes in ({}, {"range_suffixes": 20, "run_bytes": 2000}):
+        removed = suffix_runs.removals(docs, length=40, gram=20, **sizes)
+        assert rows_of(suffix_runs.kept_digests(docs, removed)) == plain(rows, 40)
