@@ -106,3 +106,12 @@ def test_equal_suffixes_travel_once(spark):
     for sizes in ({}, {"range_suffixes": 20, "run_bytes": 2000}):
         removed = suffix_runs.removals(docs, length=40, gram=20, **sizes)
         assert rows_of(suffix_runs.kept_digests(docs, removed)) == plain(rows, 40)
+
+
+def test_ranges_fill_alike():
+    random.seed(5)
+    text = "".join(random.choices("abcdefgh ", k=200_000)).encode()
+    places, _ = suffix_runs.anchors(text, 400, 120)
+    found = suffix_runs.suffixes(text, places.tolist(), 0, 400, 120)
+    ranges = Counter(int.from_bytes(s.sorted_by[:8], "big") * 10 >> 64 for s in found)
+    assert len(ranges) == 10 and max(ranges.values()) < len(places) / 5
