@@ -1,8 +1,8 @@
 """Streams over a folder of line files.
 
 ``stream_dedupe`` keeps every distinct value in its state store: there is no event time, so
-nothing ever expires. For a stream without end use ``append_new``, which compares each
-batch with the stored table and keeps no state.
+nothing ever expires. For a stream without end use ``append_new``, which compares what
+arrives with the stored table and keeps no state.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from listwright.operators.dedupe import normalize_names
 from listwright.sources.lines import readable
 from listwright.storage import fresh_path
-from listwright.streaming.known import add_unknown
+from listwright.streaming.known import Arrivals
 
 
 def stream_lines(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
@@ -49,16 +49,19 @@ def run_available(stream: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def append_new(stream: DataFrame, table: str, key: str = "value") -> None:
-    """Append the values of the stream that the stored table lacks, batch after batch.
+    """Append the values of the stream that the stored table lacks.
 
-    The table is laid out by ``write_known``; of it a batch opens the folders that may hold its
-    values: see ``known``. A batch that is run again adds nothing, as its values are stored by then.
+    The table is laid out by ``write_known``. Batches are kept until they are as large as the table,
+    and are compared with it together: see ``known``. When this returns, all of them are stored. A
+    batch that is run again adds nothing.
     """
+    arriving = stream.select(key)
+    arrivals = Arrivals(stream.sparkSession, table, arriving.schema)
     query = (
-        stream.select(key)
-        .writeStream.trigger(availableNow=True)
+        arriving.writeStream.trigger(availableNow=True)
         .option("checkpointLocation", f"{table.rstrip('/')}-progress")
-        .foreachBatch(lambda batch, _: add_unknown(batch, table, key))
+        .foreachBatch(lambda batch, _: arrivals.take(batch))
         .start()
     )
     query.awaitTermination()
+    arrivals.add()

@@ -1,6 +1,7 @@
 """Duplicates, positions, sinks and streams, against brute force on small fixtures."""
 
 import random
+import re
 from pathlib import Path
 
 import pytest
@@ -336,3 +337,65 @@ def test_marks_without_values_do_no_harm(spark, tmp_path):
     assert spark.read.parquet(f"{table}-marks").count() > len(marks)
     known.add_unknown(lost.union(values), table)
     assert sorted(r.value for r in spark.read.parquet(table).collect()) == ["a", "b", "c"]
+
+
+def _comparisons(spark, table):
+    files = spark.read.parquet(f"{table}-marks").select("_metadata.file_name").distinct().collect()
+    return len({re.sub(r"^part-\d+-", "", r.file_name)[:36] for r in files})
+
+
+def _arriving(folder, batches):
+    folder.mkdir()
+    for i in range(batches):
+        (folder / f"{i}.txt").write_text(f"a\nb{i}\nb{i // 2}\n{'c' * i}\n")
+    return {"a", "", *(f"b{i}" for i in range(batches)), *("c" * i for i in range(batches))}
+
+
+def test_batches_of_a_stream_are_compared_together(spark, tmp_path, monkeypatch):
+    expected = _arriving(tmp_path / "in", 8)
+    stream = streaming.stream_lines(spark, str(tmp_path / "in"), files_per_batch=1)
+    for fewest, most in ((1000, 2), (3, 4)):
+        monkeypatch.setattr(known.Arrivals, "FEWEST", fewest)
+        table = str(tmp_path / f"known-{fewest}")
+        streaming.write_known(spark.createDataFrame([("a",), ("old",)], "value string"), table)
+        streaming.append_new(stream, table)
+        values = [r.value for r in spark.read.parquet(table).collect()]
+        assert sorted(values) == sorted(expected | {"old"})
+        # The first one is that of the values known before.
+        assert _comparisons(spark, table) == most
+        assert known.Arrivals(spark, table, stream.select("value").schema).rows == 0
+
+
+def test_a_failed_stream_leaves_no_value_out(spark, tmp_path, monkeypatch):
+    expected = _arriving(tmp_path / "in", 4)
+    stream = streaming.stream_lines(spark, str(tmp_path / "in"), files_per_batch=1)
+    table = str(tmp_path / "known")
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(known, "add_unknown", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            streaming.append_new(stream, table)
+    # All batches are committed by now, so none arrives again.
+    streaming.append_new(stream, table)
+    assert sorted(r.value for r in spark.read.parquet(table).collect()) == sorted(expected)
+    # As after a stream that failed before the files of its batches were cleared.
+    again = spark.createDataFrame([("a",), (None,), ("new",), ("new",)], "value string")
+    known.Arrivals(spark, table, again.schema).take(again)
+    streaming.append_new(stream, table)
+    stored = [r.value for r in spark.read.parquet(table).collect()]
+    assert sorted(stored) == sorted(expected | {"new"})
+
+
+def test_very_many_values_open_all_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(known, "MANY", 0)
+    table = str(tmp_path / "known")
+    old = spark.range(100).select(F.concat(F.lit("value "), F.col("id")).alias("value"))
+    streaming.write_known(old, table)
+    folders = {r.bucket for r in spark.read.parquet(table).select("bucket").distinct().collect()}
+    assert set(known.possible_buckets(old.limit(1), table)) == folders
+    known.add_unknown(old.union(old.selectExpr("concat('new ', value)")), table)
+    stored = spark.read.parquet(table)
+    assert stored.count() == stored.select("value").distinct().count() == 200
