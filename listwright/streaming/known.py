@@ -95,9 +95,14 @@ def _fill(spark: SparkSession, table: str) -> dict[int, int]:
 
 def write_known(values: DataFrame, table: str, key: str = "value") -> None:
     """Append distinct values that the table lacks: ``(value, bucket)``, a folder per bucket."""
-    spark = values.sparkSession
     values = values.select(key).persist()
-    count, fill = values.count(), _fill(spark, table)
+    _write_kept(values, table, key)
+    values.unpersist()
+
+
+def _write_kept(values: DataFrame, table: str, key: str) -> None:
+    """``write_known`` for persisted values, which are read three times."""
+    count, fill = values.count(), _fill(values.sparkSession, table)
     generation = max(fill, default=0)
     while (FIRST_FOLDERS << generation) * FOLDER_VALUES - fill.get(generation, 0) < count:
         generation += 1
@@ -109,7 +114,6 @@ def write_known(values: DataFrame, table: str, key: str = "value") -> None:
     marks.write.mode("append").parquet(_marks(table))
     folders = placed.select(key, "bucket").repartition("bucket")
     folders.write.mode("append").partitionBy("bucket").parquet(table)
-    values.unpersist()
 
 
 def add_unknown(batch: DataFrame, table: str, key: str = "value") -> None:
@@ -120,8 +124,11 @@ def add_unknown(batch: DataFrame, table: str, key: str = "value") -> None:
     kind = values.schema[key].dataType.simpleString()
     known = _table(spark, table, f"`{key}` {kind}, bucket bigint").select(key, "bucket")
     known = known.where(F.col("bucket").isin(buckets)).select(key)
-    write_known(incremental_new(values, known, key), table, key)
-    values.unpersist()
+    new = incremental_new(values, known, key).persist()
+    new.count()
+    values.unpersist()  # so that the two are kept together for one job only
+    _write_kept(new, table, key)
+    new.unpersist()
 
 
 class Arrivals:
@@ -163,7 +170,8 @@ class Arrivals:
         """Keep a batch, and compare those kept so far when there are enough."""
         [key] = self.schema.names
         path = f"{self.path}/{uuid.uuid4().hex}"
-        batch.select(key).where(F.col(key).isNotNull()).write.parquet(path)
+        values = batch.select(key).where(F.col(key).isNotNull())
+        values.write.option("compression", "zstd").parquet(path)
         self.rows, self.any = self.rows + self._read(path).count(), True
         if self.rows >= self.enough:
             self.add()
